@@ -45,24 +45,22 @@ def _melt(df: DataFrame, keep: Sequence[str], measures: Mapping[str, str]) -> Da
     return df.select(*keep, F.explode(items).alias("i")).select(*keep, "i.m", "i.x")
 
 
-def _below(counts: DataFrame, base: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Add ``below`` (rows with a smaller value) and ``total`` (rows) per group to value counts.
-
-    ``base`` has the same cells without the columns added so far, so that a chain of scopes does
-    not repeat the work of the earlier ones.
-    """
-    grid = base.groupBy(*group, "b").agg(F.sum("n").alias("nb"))
+def _below(cells: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Add ``below`` (rows with a smaller value), ``equal`` and ``total`` per group to value counts."""
     g = Window.partitionBy(*group)
+    grid = cells.groupBy(*group, "b").agg(F.sum("n").alias("nb"))
     grid = grid.select(
         *group,
         "b",
         F.coalesce(F.sum("nb").over(g.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("nl"),
         F.sum("nb").over(g).alias("total"),
     )
-    cell = Window.partitionBy(*group, "b")
-    upto = F.sum("n").over(cell.orderBy("x").rangeBetween(Window.unboundedPreceding, 0))
-    equal = F.sum("n").over(Window.partitionBy(*group, "b", "x"))
-    inner = counts.select("*", upto.alias("upto"), equal.alias("equal"))
+    inside = Window.partitionBy(*group, "b").orderBy("x").rangeBetween(Window.unboundedPreceding, 0)
+    inner = cells.select(
+        "*",
+        F.sum("n").over(inside).alias("upto"),
+        F.sum("n").over(Window.partitionBy(*group, "b", "x")).alias("equal"),
+    )
     cond = [F.col(f"c.{k}").eqNullSafe(F.col(f"g.{k}")) for k in [*group, "b"]]
     joined = inner.alias("c").join(grid.alias("g"), cond, "inner")
     return joined.select("c.*", (F.col("nl") + F.col("upto") - F.col("equal")).alias("below"), "total")
@@ -78,26 +76,34 @@ def percent_ranks(
     """``keys`` and one exact percent rank per scope and measure.
 
     ``scopes`` maps a name to the grouping columns; NULL group values form a group, NULL values
-    rank lowest.  The result of each scope is attached by one join on (groups, value).  That join
-    has the value counts on one side, so for a hot combination the counts are known beforehand:
-    its rows are spread over salts and its single count row is repeated once per salt.
+    rank lowest.  Measures and scopes become rows, so the plan has the same few shuffles for any
+    number of them, and all but the last work on counts of equal values.
     """
     groups = list(dict.fromkeys(c for cols in scopes.values() for c in cols))
-    renamed = {c: f"g{i}" for i, c in enumerate(groups)}
-    narrow = df.select(*keys, *[F.col(c).alias(r) for c, r in renamed.items()], *measures.values())
-    gs = list(renamed.values())
-    long = _melt(narrow, [*keys, *gs], measures)
-    base = long.groupBy("m", *gs, "x").agg(F.count(F.lit(1)).alias("n"))
-    base = base.withColumn("b", value_bucket(F.col("x")))
-    cells = base
-    for scope, cols in scopes.items():
-        group = ["m", *[renamed[c] for c in cols]]
-        ranked = _below(cells, base, group)
-        cells = ranked.withColumn(
-            f"pr_{scope}", F.when(F.col("total") > 1, F.col("below") / (F.col("total") - 1)).otherwise(0.0)
-        ).drop("below", "total", "upto", "equal")
-    on = ["m", *gs, "x"]
-    attached = _attach(long, cells, base, on, keys, [f"pr_{s}" for s in scopes])
+    gs = {c: f"g{i}" for i, c in enumerate(groups)}
+    narrow = df.select(*keys, *[F.col(c).alias(r) for c, r in gs.items()], *measures.values())
+    long = _melt(narrow, [*keys, *gs.values()], measures)
+    on = ["m", *gs.values(), "x"]
+    base = long.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
+    # Per scope the grouping columns it does not use are NULL.
+    variants = F.array(
+        *[
+            F.struct(
+                F.lit(scope).alias("s"),
+                *[(F.col(r) if c in cols else F.lit(None)).alias(f"k_{r}") for c, r in gs.items()],
+            )
+            for scope, cols in scopes.items()
+        ]
+    )
+    cells = base.select(*on, "n", value_bucket(F.col("x")).alias("b"), F.explode(variants).alias("v")).select(
+        *on, "n", "b", "v.*"
+    )
+    ranked = _below(cells, ["m", "s", *[f"k_{r}" for r in gs.values()]])
+    pr = F.when(F.col("total") > 1, F.col("below") / (F.col("total") - 1)).otherwise(0.0)
+    wide = ranked.groupBy(*on).agg(
+        F.max("n").alias("n"), *[F.max(F.when(F.col("s") == s, pr)).alias(f"pr_{s}") for s in scopes]
+    )
+    attached = _attach(long, wide, base, on, keys, [f"pr_{s}" for s in scopes])
     picks = [
         F.max(F.when(F.col("m") == measure, F.col(f"pr_{scope}"))).alias(name(scope, measure))
         for scope in scopes
@@ -118,7 +124,8 @@ def _attach(
     """Join rows to the one cell they belong to, splitting cells that hold many of the rows.
 
     A cell with more than 1/share of all rows is hot.  There are fewer than ``share`` of them, so
-    the list is small whatever the data; it only decides the salt.
+    the broadcast list has a fixed bound.  Rows of a hot cell get one of ``share`` salts and its
+    single count row is repeated once per salt.
     """
     total = base.agg(F.sum("n").alias("rows"))
     hot = base.crossJoin(F.broadcast(total)).filter(F.col("n") * share > F.col("rows")).select(*on)
@@ -145,7 +152,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float) -> DataFrame:
     """One row ``m, q``: for each column the smallest value whose cumulative share reaches ``q``."""
     long = _melt(df, [], {c: c for c in cols}).filter(F.col("x").isNotNull())
     cells = long.groupBy("m", "x").agg(F.count(F.lit(1)).alias("n")).withColumn("b", value_bucket(F.col("x")))
-    ranked = _below(cells, cells, ["m"])
+    ranked = _below(cells, ["m"])
     reached = F.col("below") + F.col("equal") >= F.lit(q) * F.col("total")
     return ranked.filter(reached).groupBy("m").agg(F.min("x").alias("q"))
 

@@ -12,48 +12,50 @@ from memberlytics.operators.rolling import FRAMES
 
 def head_rollup(
     df: DataFrame,
-    head: str,
+    levels: Mapping[str, str],
+    member: str,
     period: str,
     sponsor: str,
     measures: Mapping[str, Column],
     front: Sequence[str],
-    heads: DataFrame,
+    keep: Column,
     ratio: tuple[str, Column, Column] | None = None,
 ) -> DataFrame:
-    """Sums of ``measures`` per (head, period), and of ``front`` among the head's own recruits.
+    """Sums per (level, head, period) over a head's group, and ``front`` over its own recruits.
 
-    ``heads`` (columns ``head``, ``head_key``, unique pairs) lists members that head their own
-    group.  Measures are summed per (head, period, sponsor) first, so the join that marks
-    the front line sees one row per such triple and matches on the pair (head, sponsor): a head
+    ``levels`` maps a level name to the column that holds the member's head on that level.  A row
+    is repeated once per level, so all levels come from one scan and one pair of aggregates.
+    ``keep`` selects the rows that count.  Members who are their own head define the heads.
+
+    Measures are summed per (level, head, period, sponsor) first.  The join that marks the front
+    line then sees one row per such combination and matches on the pair (head, sponsor): a head
     that owns a third of the panel is neither a hot join key nor a hot aggregation key.
     """
-    sums = [F.sum(c).alias(name) for name, c in measures.items()]
-    if ratio:
-        sums += [F.sum(ratio[1]).alias("_num"), F.sum(ratio[2]).alias("_den")]
-    per_sponsor = df.groupBy(F.col(head).alias("head"), period, F.col(sponsor).alias("head_key")).agg(*sums)
-    marked = per_sponsor.join(heads.withColumn("is_front", F.lit(1)), ["head", "head_key"], "left")
-    in_front = F.col("is_front") == 1
+    def repeated(rows: DataFrame, *cols) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(n).alias("level"), F.col(c).alias("head")) for n, c in levels.items()])
+        return rows.select(*cols, F.explode(pairs).alias("_p")).select("*", "_p.level", "_p.head").drop("_p")
+
+    values = {**measures, **({"_num": ratio[1], "_den": ratio[2]} if ratio else {})}
+    rows = repeated(
+        df.filter(keep), period, F.col(sponsor).alias("head_key"), *[c.alias(n) for n, c in values.items()]
+    )
+    per_sponsor = rows.groupBy("level", "head", period, "head_key").agg(*[F.sum(n).alias(n) for n in values])
+    heads = repeated(df, F.col(member).alias("head_key")).filter(F.col("head_key") == F.col("head")).distinct()
+    heads = heads.withColumn("is_front", F.lit(1))
+    marked = per_sponsor.join(heads, ["level", "head", "head_key"], "left")
     out = [F.sum(name).alias(name) for name in measures]
     if ratio:
         out.append(safe_ratio(F.sum("_num"), F.sum("_den")).alias(ratio[0]))
-    out += [
-        F.coalesce(F.sum(F.when(in_front, F.col(name))), F.lit(0)).alias(f"front_{name}") for name in front
-    ]
-    return marked.groupBy("head", period).agg(*out)
-
-
-def self_heads(df: DataFrame, head: str, member: str) -> DataFrame:
-    """Distinct members whose group head is themselves."""
-    return df.filter(F.col(member) == F.col(head)).select(
-        F.col(head).alias("head"), F.col(member).alias("head_key")
-    ).distinct()
+    own = F.col("is_front") == 1
+    out += [F.coalesce(F.sum(F.when(own, F.col(name))), F.lit(0)).alias(f"front_{name}") for name in front]
+    return marked.groupBy("level", "head", period).agg(*out)
 
 
 def head_trend(
     rollup: DataFrame, period: str, cols: Sequence[str], ks: Sequence[int] = FRAMES, absent: Sequence[int] = (-1,)
 ) -> DataFrame:
     """Rolling averages per head, and whether the head exists.  A head has one row per period."""
-    w = Window.partitionBy("head").orderBy(period)
+    w = Window.partitionBy("level", "head").orderBy(period)
     return rollup.select(
         "*",
         flag(~F.col("head").isin(*absent)).alias("head_exists"),
@@ -118,24 +120,32 @@ def campaigns_by_period(campaigns: DataFrame, period: str) -> DataFrame:
     return campaigns.groupBy(period).agg(F.sort_array(F.collect_list(F.struct("line", "unit_price"))).alias("offers"))
 
 
-def promo_response(df: DataFrame, keys: Sequence[str], period: str, campaigns: DataFrame, lines: Mapping[str, str]) -> DataFrame:
-    """Per line: campaigns of the period that the member's revenue reached, and the mean multiple.
+def promo_columns(lines: Mapping[str, str], count: str = "n_{}_promo", multiple: str = "{}_multiple") -> list[Column]:
+    """Per line, from the ``offers`` of the row's period: campaigns reached and the mean multiple.
 
-    The campaign calendar has one short list per period, so each panel row is compared with its
-    own list in place: no fan-out of the panel and no aggregation back to the member.
+    A multiple is revenue / unit price where the price was reached and 0 for every other offer.
     """
-    joined = df.join(campaigns_by_period(campaigns, period), period, "left")
     out = []
     for line, revenue in lines.items():
         rev = F.col(revenue)
         hits = F.filter("offers", lambda o: (o["line"] == line) & (rev >= o["unit_price"]))  # noqa: B023
         total = F.aggregate(hits, F.lit(0.0), lambda acc, o: acc + rev / o["unit_price"])  # noqa: B023
-        count = F.coalesce(F.size("offers"), F.lit(0))
+        offered = F.size("offers")
         out += [
-            F.when(F.col("offers").isNull(), 0).otherwise(F.size(hits)).cast("long").alias(f"n_{line}_promo"),
-            F.when(count > 0, total / count).otherwise(0.0).alias(f"{line}_multiple"),
+            F.when(F.col("offers").isNull(), 0).otherwise(F.size(hits)).cast("long").alias(count.format(line)),
+            F.when(offered > 0, total / offered).otherwise(0.0).alias(multiple.format(line)),
         ]
-    return joined.select(*keys, *out)
+    return out
+
+
+def promo_response(df: DataFrame, keys: Sequence[str], period: str, campaigns: DataFrame, lines: Mapping[str, str]) -> DataFrame:
+    """Campaign response per row of the panel.
+
+    The campaign calendar has one short list per period, so each panel row is compared with its
+    own list in place: no fan-out of the panel and no aggregation back to the member.
+    """
+    joined = df.join(campaigns_by_period(campaigns, period), period, "left")
+    return joined.select(*keys, *promo_columns(lines))
 
 
 def monthly_yearly_rank(

@@ -76,14 +76,18 @@ def members(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def with_far_heads(df: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
-    """Heads of the three widest groups: first member key of the province, region and segment."""
-    people = members(spark, sf)
-    for head, place in (("plat", "province"), ("emd", "region"), ("dia", "segment")):
-        first = people.groupBy(place).agg(
-            F.coalesce(F.nullif(F.min("member_id"), F.lit(0)), F.lit(-1)).alias(f"{head}_head")
-        )
-        df = df.join(first, place)
-    return df
+    """Heads of the three widest groups: first member key of the province, region and segment.
+
+    The smallest key per (province, segment) is aggregated once; the three minima are windows
+    over that short list.
+    """
+    firsts = members(spark, sf).groupBy("province", "region", "segment").agg(F.min("member_id").alias("first"))
+    head = lambda place: F.coalesce(
+        F.nullif(F.min("first").over(Window.partitionBy(place)), F.lit(0)), F.lit(-1)
+    ).alias(f"{place}_first")
+    firsts = firsts.select("province", "segment", head("province"), head("region"), head("segment"))
+    names = {"province_first": "plat_head", "region_first": "emd_head", "segment_first": "dia_head"}
+    return df.join(firsts.withColumnsRenamed(names), ["province", "segment"])
 
 
 def line_items(spark: SparkSession, sf: str, by_line: bool) -> DataFrame:

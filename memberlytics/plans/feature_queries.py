@@ -37,14 +37,22 @@ DL_SHARES = {"n_pct_dl_pv_sellers": ("dl_seller_pv", "dl_pv"), "n_pct_dl_310": (
 
 
 def base_panel(spark, sf):
-    """The full panel, written once: the support tables below all read it."""
-    p = jq.with_repeat(b.with_group(b.panel(spark, sf, by_line=True)))
-    return stage(b.with_far_heads(p, spark, sf), "panel")
+    """The full panel, written once: the support tables below all read it.
 
+    It is written before the group measures too, because those aggregate the panel and join it.
+    """
+    p = stage(b.panel(spark, sf, by_line=True), "panel")
+    return stage(b.with_far_heads(jq.with_repeat(b.with_group(p)), spark, sf), "panel_full")
 
-def los_lookup(p, head):
-    table = rollup.head_trend(jq.los_rollup(p, head), "month", jq.LOS_TREND)
-    return table.select(F.col("head").alias(f"{head}_head"), "month", *[F.col(c).alias(f"n_los_{head}_{c}") for c in LOS_COLS])
+
+def los_table(p):
+    """Group measures and trends of every head on every level."""
+    return rollup.head_trend(jq.los_rollup(p), "month", jq.LOS_TREND)
+
+
+def los_lookup(table, head):
+    own = table.filter(F.col("level") == head)
+    return own.select(F.col("head").alias(f"{head}_head"), "month", *[F.col(c).alias(f"n_los_{head}_{c}") for c in LOS_COLS])
 
 
 def monthly_engagement(spark, sf):
@@ -81,33 +89,54 @@ def id_map(spark, sf):
     return b.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("member_id"), F.col("s_nationkey").alias("i_dist_num"))
 
 
+def active_only(p):
+    return p.filter((F.col("status") == "ACTIVE") & (F.col("member_type") == "I"))
+
+
+def support_tables(spark, sf, p):
+    """The tables the star join looks up, each written once.
+
+    As files their sizes are known when the star join is planned, a lost executor costs a
+    re-read, and each can be reused by other jobs.
+    """
+    monthly = b.monthly_events(spark, sf)
+    tables = {
+        "downline": jq.downline(p),
+        "ranks": percent_ranks(active_only(p), list(KEY), MEASURES, SCOPES, name=lambda s, m: f"pct_{s}_{m}"),
+        "heads": los_table(p),
+        "promo_sku": promo_sku(spark, sf),
+        "logins": monthly.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_logins")),
+        "engagement": monthly_engagement(spark, sf),
+        "funnel": monthly_funnel(spark, sf),
+        "global_rank": global_rank(p),
+    }
+    return {name: stage(df, name) for name, df in tables.items()}
+
+
 def star(spark, sf, p):
     """Panel rows with every lookup attached; still one row per (member, month)."""
-    act = p.filter((F.col("status") == "ACTIVE") & (F.col("member_type") == "I"))
-    down = jq.downline(p)
-    ranks = percent_ranks(act, list(KEY), MEASURES, SCOPES, name=lambda s, m: f"pct_{s}_{m}")
+    t = support_tables(spark, sf, p)
+    down = t["downline"]
     own = down.filter(F.col("sponsor_id").isNotNull()).withColumnRenamed("sponsor_id", "member_id")
     own = own.select(*KEY, *[c for c in own.columns if c.startswith("dl_")])
-    logins = b.monthly_events(spark, sf).groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_logins"))
-
-    rows = p.withColumn("year", F.year("month")).withColumn("fy", fn.fiscal_year("month"))
-    rows, index = jq.attach_averages(rows, act)
-    rows = rows.select("*", *index)
-    rows = rows.drop(*[c for c in rows.columns if c.startswith("_")])
-    rows = rows.join(b.province_income(spark, sf), ["province", "year"], "left")
-    rows = rollup.promo_response(rows, rows.columns, "month", b.campaigns(spark, sf), PROMO_LINES)
-    rows = ft.star_join(rows, [(los_lookup(p, h), [f"{h}_head", "month"]) for h in b.HEADS])
+
+    rows = p.withColumns({"year": F.year("month"), "fy": fn.fiscal_year("month")})
+    rows = jq.attach_averages(rows, active_only(p))
+    rows = ft.star_join(
+        rows,
+        [
+            (b.province_income(spark, sf), ["province", "year"]),
+            (rollup.campaigns_by_period(b.campaigns(spark, sf), "month"), ["month"]),
+            *[(los_lookup(t["heads"], h), [f"{h}_head", "month"]) for h in b.HEADS],
+        ],
+    )
     rows = jq.attach_upline(rows, p, down)
     rows = ft.star_join(
         rows,
         [
             (own, KEY),
-            (ranks, KEY),
-            (promo_sku(spark, sf), KEY),
-            (logins, KEY),
-            (monthly_engagement(spark, sf), KEY),
-            (monthly_funnel(spark, sf), KEY),
-            (global_rank(p), ["member_id", "fy"]),
+            *[(t[name], KEY) for name in ("ranks", "promo_sku", "logins", "engagement", "funnel")],
+            (t["global_rank"], ["member_id", "fy"]),
             (id_map(spark, sf), ["member_id"]),
         ],
     )
@@ -130,12 +159,11 @@ def feature_columns():
         fn.safe_ratio("recur_pv", "pv").alias("n_pct_pv_recur"),
         (c("pv") - c("stly_pv")).alias("n_change_stly_pv"), (c("rev") - c("stly_rev")).alias("n_change_stly_rev"),
         *ft.filled({p: f"n_{p}" for p in pcts}, 0.0),
-        *[f"n_index_{prefix}_{n}" for prefix in ("overall", "region", "rank") for n in jq.AVG],
+        *jq.index_columns(),
         c("region").alias("i_region"), c("income").alias("n_region_income"),
         fn.safe_ratio("bonus_gross", "income").alias("n_pct_income"),
         c("fy").alias("i_fiscal_year"),
-        *[F.round(f"{ln}_multiple", 6).alias(f"n_promo_{ln}_multiple") for ln in PROMO_LINES],
-        *[c(f"n_{ln}_promo").alias(f"n_promo_{ln}") for ln in PROMO_LINES],
+        *rollup.promo_columns(PROMO_LINES, count="n_promo_{}", multiple="n_promo_{}_multiple"),
         *ft.filled({d: f"n_{d}" for d in DL_VALUES if d != "dl_rank_max"}),
         F.coalesce("dl_rank_max", F.lit(0)).alias("i_dl_rank_max"),
         *[fn.safe_ratio(a, d).alias(n) for n, (a, d) in DL_SHARES.items()],
@@ -172,12 +200,12 @@ def feature_table(spark, sf):
 
 def _is_ratio(name: str) -> bool:
     stem = name.rsplit("_", 1)[0]
-    return fam.KIND.get(stem) == "ratio" or name.startswith("n_funnel_cart")
+    return fam.KIND.get(stem) == "ratio" or name.startswith("n_funnel_cart") or name.endswith("_multiple")
 
 
 def comparable(df):
     """Means of ratios and sums of means depend on the order of addition in their last bits."""
-    return df.select(*[F.round(c, 6).alias(c) if _is_ratio(c) else F.col(c) for c in df.columns])
+    return df.select(*[F.round(c, 9).alias(c) if _is_ratio(c) else F.col(c) for c in df.columns])
 
 
 # --- the same table as SQL -------------------------------------------------------------------
@@ -207,7 +235,7 @@ pct AS (SELECT member_id, month, """ + ", ".join(
 ) + " FROM grouped WHERE status = 'ACTIVE' AND member_type = 'I')"
 
 _PROMO = f"""
-promo AS (SELECT p.member_id, p.month, {jq._promo_sql()} FROM panel p LEFT JOIN campaigns c ON c.month = p.month GROUP BY 1, 2),
+promo AS (SELECT p.member_id, p.month, {jq._promo_sql(9)} FROM panel p LEFT JOIN campaigns c ON c.month = p.month GROUP BY 1, 2),
 sku AS (SELECT o_custkey AS member_id, date_trunc('month', o_orderdate)::DATE AS month, count(CASE WHEN l_discount >= 0.09
   THEN l_partkey END) AS n_promo_sku FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2)"""
 
@@ -282,7 +310,7 @@ def _family_sql(spec, k: int) -> str:
     kind = fam.KIND[spec.stem]
     if kind == "int" and spec.agg == "sum":
         return f"CAST({value} AS BIGINT)"
-    return f"round({value}, 6)" if kind == "ratio" else value
+    return f"round({value}, 9)" if kind == "ratio" else value
 
 
 def _wide_sql() -> str:
@@ -304,7 +332,7 @@ def _wide_sql() -> str:
             f"coalesce(lag(bonus_gross) OVER {_W}) / nullif(income, 0), 0) AS n_pct_income_previous"]
     cols += [f"coalesce(pct_{s}_{m}, 0) AS n_pct_{s}_{m}" for s in SCOPES for m in MEASURES]
     cols += [f"n_index_{p}_{n}" for p in ("overall", "region", "rank") for n in jq.AVG]
-    cols += [f"{ln}_multiple AS n_promo_{ln}_multiple" for ln in PROMO_LINES]
+    cols += [f"round({ln}_multiple, 9) AS n_promo_{ln}_multiple" for ln in PROMO_LINES]
     cols += [f"n_{ln}_promo AS n_promo_{ln}" for ln in PROMO_LINES]
     cols += [f"coalesce({d}, 0) AS n_{d}" for d in DL_VALUES if d != "dl_rank_max"]
     cols += [f"coalesce({a} / nullif({d}, 0), 0) AS {n}" for n, (a, d) in DL_SHARES.items()]
@@ -327,10 +355,6 @@ def _wide_sql() -> str:
     return "wide AS (SELECT " + ",\n  ".join(cols) + " FROM star)"
 
 
-def _round_cart(cols: str) -> str:
-    return cols
-
-
 def _derived_sql() -> str:
     mom = [f"{s}_3m / nullif({s}_6m - {s}_3m, 0) AS {s}_3m_mom" for s in fam.TRACKED]
     lyr = [f"lag({s}_12m, 12) OVER {_W}) AS {s}_12m_lyr" for s in fam.TRACKED]
@@ -354,7 +378,8 @@ STAR_OUT = ["member_id", "month", "pv", "group_pv", "upline_rank", "up_dl_seller
 
 @query("feature_star_join", cte(*STAR_PARTS, body=f"SELECT {', '.join(STAR_OUT)} FROM star"))
 def feature_star_join(spark, sf):
-    return star(spark, sf, base_panel(spark, sf)).select(*STAR_OUT)
+    rows = star(spark, sf, base_panel(spark, sf))
+    return rows.select("*", *jq.index_columns()).select(*STAR_OUT)
 
 
 @query(
@@ -366,5 +391,6 @@ def feature_star_join(spark, sf):
 def los_features_on_member(spark, sf):
     p = stage(jq.los_panel(spark, sf, b.HEADS), "panel")
     rows = p.select(*KEY, *[f"{h}_head" for h in b.HEADS])
-    joined = ft.star_join(rows, [(los_lookup(p, h), [f"{h}_head", "month"]) for h in b.HEADS])
+    table = stage(los_table(p), "heads")
+    joined = ft.star_join(rows, [(los_lookup(table, h), [f"{h}_head", "month"]) for h in b.HEADS])
     return joined.select(*KEY, *[f"n_los_{h}_{c}" for h in b.HEADS for c in LOS_COLS])

@@ -152,13 +152,13 @@ def promo_fanout(spark, sf):
     return b.monthly(spark, sf).select(*KEY, "rev").join(b.campaigns(spark, sf), "month", "left")
 
 
-def _promo_sql() -> str:
+def _promo_sql(digits: int = 6) -> str:
     out = []
     for line in [*b.LINES, "all"]:
         rev = "rev" if line == "all" else f"{line}_rev"
         hit = f"line = '{line}' AND {rev} >= unit_price"
         out.append(f"CAST(sum(CASE WHEN {hit} THEN 1 ELSE 0 END) AS BIGINT) AS n_{line}_promo")
-        out.append(f"round(avg(CASE WHEN {hit} THEN {rev} / unit_price ELSE 0 END), 6) AS {line}_multiple")
+        out.append(f"round(avg(CASE WHEN {hit} THEN {rev} / unit_price ELSE 0 END), {digits}) AS {line}_multiple")
     return ", ".join(out)
 
 
@@ -244,13 +244,18 @@ def with_repeat(p):
     return p.withColumn("is_repeat", F.when(customer, is_repeat))
 
 
-def los_rollup(p, head: str):
-    """Rollup of a panel that has the repeat flag and the head column."""
-    col = f"{head}_head"
-    heads = rollup.self_heads(p, col, "member_id")
-    active = p.filter(F.col("status") == "ACTIVE")
+def los_rollup(p, heads=b.HEADS):
+    """Group rollup on the given head levels, of a panel with repeat flag and head columns."""
     return rollup.head_rollup(
-        active, col, "month", "sponsor_id", los_measures(), LOS_FRONT, heads, ratio=("pv_per_member", F.col("pv"), F.lit(1))
+        p,
+        {h: f"{h}_head" for h in heads},
+        "member_id",
+        "month",
+        "sponsor_id",
+        los_measures(),
+        LOS_FRONT,
+        keep=F.col("status") == "ACTIVE",
+        ratio=("pv_per_member", F.col("pv"), F.lit(1)),
     )
 
 
@@ -297,7 +302,7 @@ def _trend_sql() -> str:
 def _register_los(head: str) -> None:
     @query(f"los_rollup_{head}", cte(REPEAT, _los_sql(head), body="SELECT * FROM los"))
     def rolled(spark, sf):
-        return los_rollup(los_panel(spark, sf, [head]), head)
+        return los_rollup(los_panel(spark, sf, [head]), [head]).drop("level")
 
     @query(
         f"los_trend_{head}",
@@ -305,7 +310,7 @@ def _register_los(head: str) -> None:
           {_trend_sql()} FROM los"""),
     )
     def trend(spark, sf):
-        out = rollup.head_trend(los_rollup(los_panel(spark, sf, [head]), head), "month", LOS_TREND)
+        out = rollup.head_trend(los_rollup(los_panel(spark, sf, [head]), [head]), "month", LOS_TREND)
         return out.select("head", "month", "head_exists", *[f"{c}_avg_{k}m" for c in LOS_TREND for k in FRAMES])
 
 
@@ -434,15 +439,19 @@ def avg_by_rank(spark, sf):
 
 
 def attach_averages(p, act):
-    """Index of each measure against the average of the month, the region and the rank."""
+    """Averages of the month, the region and the rank on every row, in columns ``_{scope}_{name}``."""
     for prefix, by in (("overall", ["month"]), ("region", ["month", "province"]), ("rank", ["month", "rank"])):
         p = p.join(rollup.averages(act, by, AVG, lambda m: f"_{prefix}_{m}"), by, "left")  # noqa: B023
-    index = [
+    return p
+
+
+def index_columns():
+    """Each measure against the attached averages."""
+    return [
         fn.safe_ratio(c, f"_{prefix}_{n}").alias(f"n_index_{prefix}_{n}")
         for prefix in ("overall", "region", "rank")
         for n, c in AVG.items()
     ]
-    return p, index
 
 
 def _index_sql() -> str:
@@ -467,8 +476,7 @@ ak AS (SELECT month, rank, {_avg_sql('rank')} {_ACTIVE} GROUP BY 1, 2)"""
 def index_vs_average(spark, sf):
     p = b.with_group(b.panel(spark, sf))
     act = p.filter((F.col("status") == "ACTIVE") & _is("I"))
-    joined, index = attach_averages(p, act)
-    return joined.select(*KEY, *index)
+    return attach_averages(p, act).select(*KEY, *index_columns())
 
 
 # --- event logs ------------------------------------------------------------------------------
