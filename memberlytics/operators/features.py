@@ -27,17 +27,33 @@ class Current:
     previous: str | None = "null"
 
 
-def star_join(df: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
-    """Left joins in the given order.  Right sides are unique on their keys.
+def packed(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``keys`` and one struct of all other columns.
+
+    A chain of joins rebuilds its rows at every step.  With the payload of each side in one
+    struct a step handles a few fields instead of hundreds, the operators stay inside generated
+    code, and shuffles copy the payload as it is.
+    """
+    return df.select(*keys, F.struct(*[c for c in df.columns if c not in keys]).alias(name))
+
+
+def star_join(df: DataFrame, lookups: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
+    """Left joins in the given order, each side packed under its name and unique on its keys.
 
     No broadcast is forced: the planner broadcasts a side when its measured size allows and
     otherwise joins by hash or sort with run-time skew handling.
     """
-    for side, keys in lookups:
-        df = df.join(side, list(keys), "left")
+    for name, side, keys in lookups:
+        df = df.join(packed(side, list(keys), name), list(keys), "left")
     return df
 
 
+def unpack(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Structs back to columns."""
+    plain = [c for c in df.columns if c not in names]
+    return df.select(*plain, *[f"{n}.*" for n in names])
+
+
 def current_columns(entity, period: str, currents: Sequence[Current]) -> list[Column]:
     w = by_entity(entity, period)
     out = []

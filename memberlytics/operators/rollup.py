@@ -148,16 +148,19 @@ def promo_response(df: DataFrame, keys: Sequence[str], period: str, campaigns: D
     return joined.select(*keys, *promo_columns(lines))
 
 
+def yearly_rank(entity: str, fiscal: str, rank: str) -> Column:
+    """Best rank of the fiscal year: a window over the rows of one entity and year (at most 12)."""
+    return F.max(rank).over(Window.partitionBy(entity, fiscal))
+
+
 def monthly_yearly_rank(
     df: DataFrame, entity: str, fiscal: str, rank: str, names: DataFrame, key: str = "rank", text: str = "rank_name"
 ) -> DataFrame:
     """Monthly rank, best rank of the fiscal year, and the names of both.
 
-    The yearly maximum is a window over the rows of one entity and year (at most 12), so nothing
-    is aggregated and joined back.  ``names`` maps rank scores to text.
+    Nothing is aggregated and joined back.  ``names`` maps rank scores to text.
     """
-    yearly = F.max(rank).over(Window.partitionBy(entity, fiscal)).alias("yearly_rank")
-    out = df.select("*", yearly)
+    out = df.select("*", yearly_rank(entity, fiscal, rank).alias("yearly_rank"))
     for source, target in ((rank, "monthly_name"), ("yearly_rank", "yearly_name")):
         lookup = names.select(F.col(key).alias("_k"), F.col(text).alias(target))
         out = out.join(lookup, F.col(source) == F.col("_k"), "left").drop("_k")

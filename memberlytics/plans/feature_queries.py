@@ -14,7 +14,7 @@ from memberlytics.plans import join_queries as jq
 from memberlytics.plans.catalog import query
 from memberlytics.plans.oracle import CAMPAIGNS, INCOME, MONTH_EVENTS, REPEAT, cte
 from memberlytics.plans.window_queries import KEY, MEASURES, SCOPES, active_sellers
-from memberlytics.session import stage
+from memberlytics.session import stage, stage_all
 
 LOS_COLS = [
     "head_exists", "leaves", "pv_per_member", "sellers", "sellers_engaged", "customers", "customers_repeat",
@@ -42,7 +42,9 @@ def base_panel(spark, sf):
     It is written before the group measures too, because those aggregate the panel and join it.
     """
     p = stage(b.panel(spark, sf, by_line=True), "panel")
-    return stage(b.with_far_heads(jq.with_repeat(b.with_group(p)), spark, sf), "panel_full")
+    p = b.with_far_heads(jq.with_repeat(b.with_group(p)), spark, sf)
+    p = p.withColumns({"year": F.year("month"), "fy": fn.fiscal_year("month")})
+    return stage(p.withColumn("yearly_rank", rollup.yearly_rank("member_id", "fy", "rank")), "panel_full")
 
 
 def los_table(p):
@@ -110,37 +112,33 @@ def support_tables(spark, sf, p):
         "funnel": monthly_funnel(spark, sf),
         "global_rank": global_rank(p),
     }
-    return {name: stage(df, name) for name, df in tables.items()}
+    return stage_all(tables)
+
+
+STAR_KEYS = [*KEY, "sponsor_id", "province", "year", "fy", "rank", "yearly_rank", *[f"{h}_head" for h in b.HEADS]]
 
 
 def star(spark, sf, p):
     """Panel rows with every lookup attached; still one row per (member, month)."""
     t = support_tables(spark, sf, p)
-    down = t["downline"]
+    down, act = t["downline"], active_only(p)
     own = down.filter(F.col("sponsor_id").isNotNull()).withColumnRenamed("sponsor_id", "member_id")
-    own = own.select(*KEY, *[c for c in own.columns if c.startswith("dl_")])
-
-    rows = p.withColumns({"year": F.year("month"), "fy": fn.fiscal_year("month")})
-    rows = jq.attach_averages(rows, active_only(p))
-    rows = ft.star_join(
-        rows,
-        [
-            (b.province_income(spark, sf), ["province", "year"]),
-            (rollup.campaigns_by_period(b.campaigns(spark, sf), "month"), ["month"]),
-            *[(los_lookup(t["heads"], h), [f"{h}_head", "month"]) for h in b.HEADS],
-        ],
-    )
-    rows = jq.attach_upline(rows, p, down)
-    rows = ft.star_join(
-        rows,
-        [
-            (own, KEY),
-            *[(t[name], KEY) for name in ("ranks", "promo_sku", "logins", "engagement", "funnel")],
-            (t["global_rank"], ["member_id", "fy"]),
-            (id_map(spark, sf), ["member_id"]),
-        ],
-    )
-    return rollup.monthly_yearly_rank(rows, "member_id", "fy", "rank", jq.rank_names(spark))
+    names = jq.rank_names(spark)
+    lookups = [
+        *[(f"avg_{prefix}", jq.scope_averages(act, prefix), by) for prefix, by in jq.AVG_SCOPES.items()],
+        ("inc", b.province_income(spark, sf), ["province", "year"]),
+        ("camp", rollup.campaigns_by_period(b.campaigns(spark, sf), "month"), ["month"]),
+        ("mname", names.withColumnRenamed("rank_name", "monthly_name"), ["rank"]),
+        ("yname", names.toDF("yearly_rank", "yearly_name"), ["yearly_rank"]),
+        *[(f"los_{h}", los_lookup(t["heads"], h), [f"{h}_head", "month"]) for h in b.HEADS],
+        ("up", jq.upline_table(p, down), ["sponsor_id", "month"]),
+        ("own", own.select(*KEY, *[c for c in own.columns if c.startswith("dl_")]), KEY),
+        *[(name, t[name], KEY) for name in ("ranks", "promo_sku", "logins", "engagement", "funnel")],
+        ("gar", t["global_rank"], ["member_id", "fy"]),
+        ("ids", id_map(spark, sf), ["member_id"]),
+    ]
+    rows = ft.star_join(ft.packed(p, STAR_KEYS, "panel"), lookups)
+    return ft.unpack(rows, ["panel", *[name for name, _, _ in lookups]])
 
 
 def feature_columns():
@@ -392,5 +390,5 @@ def los_features_on_member(spark, sf):
     p = stage(jq.los_panel(spark, sf, b.HEADS), "panel")
     rows = p.select(*KEY, *[f"{h}_head" for h in b.HEADS])
     table = stage(los_table(p), "heads")
-    joined = ft.star_join(rows, [(los_lookup(table, h), [f"{h}_head", "month"]) for h in b.HEADS])
-    return joined.select(*KEY, *[f"n_los_{h}_{c}" for h in b.HEADS for c in LOS_COLS])
+    joined = ft.star_join(rows, [(f"los_{h}", los_lookup(table, h), [f"{h}_head", "month"]) for h in b.HEADS])
+    return ft.unpack(joined, [f"los_{h}" for h in b.HEADS]).select(*KEY, *[f"n_los_{h}_{c}" for h in b.HEADS for c in LOS_COLS])

@@ -397,20 +397,24 @@ def upline_features(spark, sf):
     return ro.delta(out, "member_id", "month", "up_dl_sellers", ADDED).drop("sponsor_id")
 
 
-def attach_upline(rows, p, down):
-    """Sponsor's own row and sponsor's group measures of the same month.
-
-    Both right sides are unique on (sponsor, month) and are joined to each other first, so the
-    panel is shuffled by sponsor once.  A sponsor of very many members is a large partition of the
-    panel side only, which run-time skew handling may split.
-    """
+def upline_table(p, down):
+    """Sponsor's own row and sponsor's group measures, unique on (sponsor, month)."""
     own = p.select(
         F.col("member_id").alias("sponsor_id"), "month", F.col("rank").alias("upline_rank"), F.col("tenure").alias("upline_tenure")
     )
     group = down.filter(F.col("sponsor_id").isNotNull()).select(
         "sponsor_id", "month", *[F.col(c).alias(f"up_{c}") for c in UPLINE]
     )
-    return rows.join(own.join(group, ["sponsor_id", "month"], "full"), ["sponsor_id", "month"], "left")
+    return own.join(group, ["sponsor_id", "month"], "full")
+
+
+def attach_upline(rows, p, down):
+    """Both right sides are joined to each other first, so the panel is shuffled by sponsor once.
+
+    A sponsor of very many members is a large partition of the panel side only, which run-time
+    skew handling may split.
+    """
+    return rows.join(upline_table(p, down), ["sponsor_id", "month"], "left")
 
 
 # --- averages --------------------------------------------------------------------------------
@@ -438,10 +442,18 @@ def avg_by_rank(spark, sf):
     return rollup.averages(active_sellers(spark, sf), ["month", "rank"], AVG, lambda m: f"rank_{m}")
 
 
+AVG_SCOPES = {"overall": ["month"], "region": ["month", "province"], "rank": ["month", "rank"]}
+
+
+def scope_averages(act, prefix):
+    """Averages of one scope in columns ``_{scope}_{name}``."""
+    return rollup.averages(act, AVG_SCOPES[prefix], AVG, lambda m: f"_{prefix}_{m}")
+
+
 def attach_averages(p, act):
-    """Averages of the month, the region and the rank on every row, in columns ``_{scope}_{name}``."""
-    for prefix, by in (("overall", ["month"]), ("region", ["month", "province"]), ("rank", ["month", "rank"])):
-        p = p.join(rollup.averages(act, by, AVG, lambda m: f"_{prefix}_{m}"), by, "left")  # noqa: B023
+    """Averages of the month, the region and the rank on every row."""
+    for prefix, by in AVG_SCOPES.items():
+        p = p.join(scope_averages(act, prefix), by, "left")
     return p
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,3 +70,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = staging_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_all(tables: dict[str, DataFrame], at_once: int = 4) -> dict[str, DataFrame]:
+    """Stage independent tables, a few at a time, so that small jobs share the executors."""
+    staging_root(next(iter(tables.values())).sparkSession)
+    with ThreadPoolExecutor(at_once) as pool:
+        done = pool.map(lambda item: stage(item[1], item[0]), tables.items())
+        return dict(zip(tables, done))
