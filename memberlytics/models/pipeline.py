@@ -1,0 +1,142 @@
+"""Preprocessing, training, evaluation and scoring with Spark ML pipelines."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.sql import DataFrame, functions as F
+
+from memberlytics.operators import shape
+
+FEATURES = "features"
+# Defaults of the models.
+PARAMS = {
+    "maxDepth": 5,
+    "maxBins": 48,
+    "maxMemoryInMB": 256,
+    "cacheNodeIds": True,
+    "subsamplingRate": 1.0,
+    "featureSubsetStrategy": "all",
+    "seed": 1000,
+}
+GBT_PARAMS = {"maxIter": 20, "stepSize": 0.1}
+FOREST_PARAMS = {"numTrees": 10}
+GRID = {"maxDepth": [2, 4, 6], "maxBins": [40, 50], "maxIter": [10, 15]}
+
+
+def prepare(df: DataFrame, target: str, keys: Sequence[str], where: str | None = None, exclude: Sequence[str] = ()) -> DataFrame:
+    """Filter, drop, cast by role and fill missing values."""
+    if where:
+        df = df.filter(where)
+    df = df.drop(*exclude)
+    numeric, categorical = shape.roles(df, target, keys)
+    return shape.impute(shape.cast_roles(df, numeric, categorical), numeric, categorical)
+
+
+def encoder_stages(numeric: Sequence[str], categorical: Sequence[str], one_hot: bool = False) -> list:
+    """One indexer for all categories (a single pass), optional one-hot vectors, one vector.
+
+    Unseen categories get an index of their own, so scoring never fails on them.
+    """
+    stages, inputs = [], list(numeric)
+    if categorical:
+        indexed = [f"{c}_indexed" for c in categorical]
+        stages.append(
+            StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep", stringOrderType="frequencyDesc")
+        )
+        if one_hot:
+            vectors = [f"{c}_vec" for c in indexed]
+            stages.append(OneHotEncoder(inputCols=indexed, outputCols=vectors, dropLast=False))
+            indexed = vectors
+        inputs += indexed
+    return [*stages, VectorAssembler(inputCols=inputs, outputCol=FEATURES)]
+
+
+def classifier(target: str, algo: str = "gbt", params: Mapping | None = None):
+    kind, extra = (GBTClassifier, GBT_PARAMS) if algo == "gbt" else (RandomForestClassifier, FOREST_PARAMS)
+    settings = {**PARAMS, **extra, **(params or {})}
+    return kind(labelCol=target, featuresCol=FEATURES, **settings)
+
+
+def fit_encoder(df: DataFrame, target: str, keys: Sequence[str], one_hot: bool = False) -> PipelineModel:
+    numeric, categorical = shape.roles(df, target, keys)
+    return Pipeline(stages=encoder_stages(numeric, categorical, one_hot)).fit(df)
+
+
+def fit_pipeline(
+    df: DataFrame, target: str, keys: Sequence[str], algo: str = "gbt", params: Mapping | None = None, one_hot: bool = False
+) -> PipelineModel:
+    """Encoder and classifier as one model, saved and loaded as one."""
+    numeric, categorical = shape.roles(df, target, keys)
+    stages = [*encoder_stages(numeric, categorical, one_hot), classifier(target, algo, params)]
+    return Pipeline(stages=stages).fit(df)
+
+
+def cross_validate(
+    encoded: DataFrame, target: str, grid: Mapping[str, Sequence] = GRID, folds: int = 5, params: Mapping | None = None,
+    parallelism: int = 4,
+) -> CrossValidatorModel:
+    """Grid search by area under the curve over already encoded features."""
+    gbt = classifier(target, "gbt", params)
+    builder = ParamGridBuilder()
+    for name, values in grid.items():
+        builder = builder.addGrid(gbt.getParam(name), list(values))
+    cv = CrossValidator(
+        estimator=gbt, estimatorParamMaps=builder.build(), numFolds=folds, parallelism=parallelism, seed=PARAMS["seed"],
+        evaluator=BinaryClassificationEvaluator(labelCol=target, metricName="areaUnderROC"),
+    )
+    return cv.fit(encoded)
+
+
+def cv_table(model: CrossValidatorModel, spark) -> DataFrame:
+    """One row per grid point: parameters and mean metric."""
+    rows = [
+        (i, ", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda e: e[0].name)), float(m))
+        for i, (pm, m) in enumerate(zip(model.getEstimatorParamMaps(), model.avgMetrics))
+    ]
+    return spark.createDataFrame(rows, "point int, params string, auc double")
+
+
+def evaluate(predicted: DataFrame, target: str) -> DataFrame:
+    """Rows (metric, value).  The area under the curve is given for two classes only."""
+    spark = predicted.sparkSession
+    values = []
+    if _classes(predicted) == 2:
+        auc = BinaryClassificationEvaluator(labelCol=target, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
+        values.append(("auc", float(auc.evaluate(predicted))))
+    for metric in ("accuracy", "f1", "weightedPrecision", "weightedRecall"):
+        e = MulticlassClassificationEvaluator(labelCol=target, predictionCol="prediction", metricName=metric)
+        values.append((metric, float(e.evaluate(predicted))))
+    return spark.createDataFrame(values, "metric string, value double")
+
+
+def _classes(predicted: DataFrame) -> int:
+    row = predicted.select(F.size(vector_to_array("probability")).alias("n")).first()
+    return row["n"] if row else 0
+
+
+def score(model, df: DataFrame, threshold: float = 0.38, label: str = "scored_label") -> DataFrame:
+    """Probability of class 1 and the label it gives at the threshold.  No Python runs per row."""
+    p = vector_to_array("probability")
+    out = model.transform(df).withColumn("score", F.get(p, F.lit(1)))
+    return out.withColumn(label, F.when(F.col("score") >= threshold, 1).otherwise(0))
+
+
+def feature_names(encoded: DataFrame, column: str = FEATURES) -> list[str]:
+    """Names of the vector's positions, from the column metadata."""
+    attrs = encoded.schema[column].metadata["ml_attr"]["attrs"]
+    found = {a["idx"]: a.get("name", str(a["idx"])) for group in attrs.values() for a in group}
+    return [found[i] for i in sorted(found)]
+
+
+def importances(model, encoded: DataFrame) -> DataFrame:
+    """Rows (feature, importance), one per position of the feature vector."""
+    weights = model.featureImportances.toArray()
+    rows = [(n, float(w)) for n, w in zip(feature_names(encoded), weights)]
+    return encoded.sparkSession.createDataFrame(rows, "feature string, importance double")
