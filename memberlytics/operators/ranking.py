@@ -13,9 +13,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Steps per power of two.  A bucket spans less than 0.1 % of its value; doubles have at most
+# Steps per power of two.  A bucket spans less than 0.4 % of its value; doubles have at most
 # 2 * 2100 powers of two, so a group has a bounded number of buckets.
-STEPS = 1024
+STEPS = 256
 
 
 def value_bucket(value: Column, steps: int = STEPS) -> Column:
@@ -40,30 +40,30 @@ def value_bucket(value: Column, steps: int = STEPS) -> Column:
 def _melt(df: DataFrame, keep: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
     """One row per input row and measure: ``keep``, measure name ``m`` and value ``x``."""
     items = F.array(
-        *[F.struct(F.lit(name).alias("m"), F.col(c).cast("double").alias("x")) for name, c in measures.items()]
+        *[F.struct(F.lit(name).alias("_m"), F.col(c).cast("double").alias("_x")) for name, c in measures.items()]
     )
-    return df.select(*keep, F.explode(items).alias("i")).select(*keep, "i.m", "i.x")
+    return df.select(*keep, F.explode(items).alias("_i")).select(*keep, "_i._m", "_i._x")
 
 
 def _below(cells: DataFrame, group: Sequence[str]) -> DataFrame:
     """Add ``below`` (rows with a smaller value), ``equal`` and ``total`` per group to value counts."""
     g = Window.partitionBy(*group)
-    grid = cells.groupBy(*group, "b").agg(F.sum("n").alias("nb"))
+    grid = cells.groupBy(*group, "_b").agg(F.sum("_n").alias("_nb"))
     grid = grid.select(
         *group,
-        "b",
-        F.coalesce(F.sum("nb").over(g.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("nl"),
-        F.sum("nb").over(g).alias("total"),
+        "_b",
+        F.coalesce(F.sum("_nb").over(g.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_nl"),
+        F.sum("_nb").over(g).alias("_total"),
     )
-    inside = Window.partitionBy(*group, "b").orderBy("x").rangeBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*group, "_b").orderBy("_x").rangeBetween(Window.unboundedPreceding, 0)
     inner = cells.select(
         "*",
-        F.sum("n").over(inside).alias("upto"),
-        F.sum("n").over(Window.partitionBy(*group, "b", "x")).alias("equal"),
+        F.sum("_n").over(inside).alias("_upto"),
+        F.sum("_n").over(Window.partitionBy(*group, "_b", "_x")).alias("_equal"),
     )
-    cond = [F.col(f"c.{k}").eqNullSafe(F.col(f"g.{k}")) for k in [*group, "b"]]
+    cond = [F.col(f"c.{k}").eqNullSafe(F.col(f"g.{k}")) for k in [*group, "_b"]]
     joined = inner.alias("c").join(grid.alias("g"), cond, "inner")
-    return joined.select("c.*", (F.col("nl") + F.col("upto") - F.col("equal")).alias("below"), "total")
+    return joined.select("c.*", (F.col("_nl") + F.col("_upto") - F.col("_equal")).alias("_below"), "_total")
 
 
 def percent_ranks(
@@ -80,32 +80,32 @@ def percent_ranks(
     number of them, and all but the last work on counts of equal values.
     """
     groups = list(dict.fromkeys(c for cols in scopes.values() for c in cols))
-    gs = {c: f"g{i}" for i, c in enumerate(groups)}
+    gs = {c: f"_g{i}" for i, c in enumerate(groups)}
     narrow = df.select(*keys, *[F.col(c).alias(r) for c, r in gs.items()], *measures.values())
     long = _melt(narrow, [*keys, *gs.values()], measures)
-    on = ["m", *gs.values(), "x"]
-    base = long.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
+    on = ["_m", *gs.values(), "_x"]
+    base = long.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     # Per scope the grouping columns it does not use are NULL.
     variants = F.array(
         *[
             F.struct(
-                F.lit(scope).alias("s"),
-                *[(F.col(r) if c in cols else F.lit(None)).alias(f"k_{r}") for c, r in gs.items()],
+                F.lit(scope).alias("_s"),
+                *[(F.col(r) if c in cols else F.lit(None)).alias(f"_k{r}") for c, r in gs.items()],
             )
             for scope, cols in scopes.items()
         ]
     )
-    cells = base.select(*on, "n", value_bucket(F.col("x")).alias("b"), F.explode(variants).alias("v")).select(
-        *on, "n", "b", "v.*"
+    cells = base.select(*on, "_n", value_bucket(F.col("_x")).alias("_b"), F.explode(variants).alias("_v")).select(
+        *on, "_n", "_b", "_v.*"
     )
-    ranked = _below(cells, ["m", "s", *[f"k_{r}" for r in gs.values()]])
-    pr = F.when(F.col("total") > 1, F.col("below") / (F.col("total") - 1)).otherwise(0.0)
+    ranked = _below(cells, ["_m", "_s", *[f"_k{r}" for r in gs.values()]])
+    pr = F.when(F.col("_total") > 1, F.col("_below") / (F.col("_total") - 1)).otherwise(0.0)
     wide = ranked.groupBy(*on).agg(
-        F.max("n").alias("n"), *[F.max(F.when(F.col("s") == s, pr)).alias(f"pr_{s}") for s in scopes]
+        F.max("_n").alias("_n"), *[F.max(F.when(F.col("_s") == s, pr)).alias(f"_pr_{s}") for s in scopes]
     )
-    attached = _attach(long, wide, base, on, keys, [f"pr_{s}" for s in scopes])
+    attached = _attach(long, wide, base, on, keys, [f"_pr_{s}" for s in scopes])
     picks = [
-        F.max(F.when(F.col("m") == measure, F.col(f"pr_{scope}"))).alias(name(scope, measure))
+        F.max(F.when(F.col("_m") == measure, F.col(f"_pr_{scope}"))).alias(name(scope, measure))
         for scope in scopes
         for measure in measures
     ]
@@ -127,43 +127,40 @@ def _attach(
     the broadcast list has a fixed bound.  Rows of a hot cell get one of ``share`` salts and its
     single count row is repeated once per salt.
     """
-    total = base.agg(F.sum("n").alias("rows"))
-    hot = base.crossJoin(F.broadcast(total)).filter(F.col("n") * share > F.col("rows")).select(*on)
+    total = base.agg(F.sum("_n")).scalar()
+    hot = base.filter(F.col("_n") * share > total).select(*on)
     same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in on]
     salted = (
         rows.alias("r")
-        .join(F.broadcast(hot.withColumn("hot", F.lit(1)).alias("h")), same("r", "h"), "left")
-        .select("r.*", F.when(F.col("hot") == 1, F.pmod(F.xxhash64(*[F.col(f"r.{k}") for k in keys]), F.lit(share)))
-                .otherwise(0).cast("int").alias("salt"))
+        .join(F.broadcast(hot.withColumn("_hot", F.lit(1)).alias("h")), same("r", "h"), "left")
+        .select("r.*", F.when(F.col("_hot") == 1, F.pmod(F.xxhash64(*[F.col(f"r.{k}") for k in keys]), F.lit(share)))
+                .otherwise(0).cast("int").alias("_salt"))
     )
-    wide = cells.crossJoin(F.broadcast(total)).select(
+    wide = cells.select(
         *on,
         *outputs,
         F.explode(
-            F.when(F.col("n") * share > F.col("rows"), F.sequence(F.lit(0), F.lit(share - 1)))
+            F.when(F.col("_n") * share > total, F.sequence(F.lit(0), F.lit(share - 1)))
             .otherwise(F.array(F.lit(0)))
-        ).alias("salt"),
+        ).alias("_salt"),
     )
-    cond = [*same("r", "c"), F.col("r.salt") == F.col("c.salt")]
+    cond = [*same("r", "c"), F.col("r._salt") == F.col("c._salt")]
     return salted.alias("r").join(wide.alias("c"), cond, "inner").select("r.*", *[f"c.{o}" for o in outputs])
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float) -> DataFrame:
     """One row ``m, q``: for each column the smallest value whose cumulative share reaches ``q``."""
-    long = _melt(df, [], {c: c for c in cols}).filter(F.col("x").isNotNull())
-    cells = long.groupBy("m", "x").agg(F.count(F.lit(1)).alias("n")).withColumn("b", value_bucket(F.col("x")))
-    ranked = _below(cells, ["m"])
-    reached = F.col("below") + F.col("equal") >= F.lit(q) * F.col("total")
-    return ranked.filter(reached).groupBy("m").agg(F.min("x").alias("q"))
+    long = _melt(df, [], {c: c for c in cols}).filter(F.col("_x").isNotNull())
+    cells = long.groupBy("_m", "_x").agg(F.count(F.lit(1)).alias("_n")).withColumn("_b", value_bucket(F.col("_x")))
+    ranked = _below(cells, ["_m"])
+    reached = F.col("_below") + F.col("_equal") >= F.lit(q) * F.col("_total")
+    return ranked.filter(reached).groupBy(F.col("_m").alias("m")).agg(F.min("_x").alias("q"))
 
 
 def winsorize(df: DataFrame, cols: Sequence[str], q: float) -> DataFrame:
     """Cap every column at its quantile ``q``, found for all columns in one pass."""
     caps = exact_quantiles(df, cols, q)
-    # One aggregated row: its size is the number of columns.
-    wide = caps.agg(*[F.max(F.when(F.col("m") == c, F.col("q"))).alias(f"cap_{c}") for c in cols])
-    capped = [
-        F.when(F.col(c) > F.col(f"cap_{c}"), F.col(f"cap_{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c)
-        for c in df.columns
-    ]
-    return df.crossJoin(F.broadcast(wide)).select(*capped)
+    # One value: a map with as many entries as there are columns.
+    limit = caps.agg(F.map_from_entries(F.collect_list(F.struct("m", "q")))).scalar()
+    capped = {c: F.when(F.col(c).isNotNull(), F.least(F.col(c), limit[c])).alias(c) for c in cols}
+    return df.select(*[capped.get(c, F.col(c)) for c in df.columns])

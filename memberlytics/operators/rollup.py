@@ -173,14 +173,12 @@ def range_lookup(df: DataFrame, col: str, bands: DataFrame, out: str) -> DataFra
     ``bands`` (lo, hi, rank, in order of ``pos``) becomes one row holding the whole list, which
     is compared in place.  The list is a business table of ranks, not data that grows.
     """
-    table = bands.agg(F.sort_array(F.collect_list(F.struct("pos", "lo", "hi", "rank")), False).alias("bands"))
+    ordered = F.sort_array(F.collect_list(F.struct("pos", "lo", "hi", "rank")), False)
     v = F.col(col)
-    inside = F.filter("bands", lambda b: v.between(b["lo"], b["hi"]))
-    return (
-        df.crossJoin(F.broadcast(table))
-        .withColumn(out, F.coalesce(F.get(inside, F.lit(0))["rank"], v))
-        .drop("bands")
-    )
+    # The list is one value of the whole query, read before the panel is scanned.
+    rows = df.withColumn("_bands", bands.agg(ordered).scalar())
+    inside = F.filter("_bands", lambda b: v.between(b["lo"], b["hi"]))
+    return rows.withColumn(out, F.coalesce(F.get(inside, F.lit(0))["rank"], v)).drop("_bands")
 
 
 def latest_rows(df: DataFrame, entity, period: str) -> DataFrame:
