@@ -165,10 +165,12 @@ SPECS = [Rolling("n_pv_sum", "pv"), Rolling("n_orders_sum", "orders"), Rolling("
 def tenure_slices(d, tenures):
     """For each tenure k the rows of that tenure with the rolling values over k months.
 
-    All slices come from one window over the whole history: the value for tenure k is picked by
-    CASE, so there is no table per tenure and no loop of jobs.
+    All slices come from one window: the value for tenure k is picked by CASE, so there is no table
+    per tenure and no loop of jobs.  Frames only look back, so rows after the last tenure are
+    dropped before the window; earlier ones all stay.
     """
-    wide = ro.rolling(d, "member_id", "month", SPECS, tenures)
+    early = d.filter(F.col("tenure") <= max(tenures))
+    wide = ro.rolling(early, "member_id", "month", SPECS, tenures)
     picked = [
         F.coalesce(*[F.when(F.col("tenure") == k, F.col(f"{s.stem}_{k}m")) for k in tenures]).alias(f"{s.stem}_month_agg")
         for s in SPECS

@@ -48,11 +48,11 @@ def panel_processed(spark, sf):
 
 @query(
     "prj_rename_lower",
-    "SELECT c_custkey AS imc_no, c_name AS member_name, c_acctbal AS balance, c_mktsegment AS location FROM customer",
+    "SELECT c_custkey AS member_no, c_name AS member_name, c_acctbal AS balance, c_mktsegment AS location FROM customer",
 )
 def prj_rename_lower(spark, sf):
     raw = b.table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("IMC_NO"), F.col("c_name").alias("Member Name"),
+        F.col("c_custkey").alias("MEMBER_NO"), F.col("c_name").alias("Member Name"),
         F.col("c_acctbal").alias("BALANCE"), F.col("c_mktsegment").alias("Location"),
     )
     return shape.rename(shape.lower_names(raw), {"member name": "member_name", "no_such_column": "x"})

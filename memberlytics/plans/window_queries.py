@@ -239,8 +239,9 @@ ALL_K = tuple(range(1, 16))
 def roll_tenure_k(spark, sf):
     p = b.dense_panel(spark, sf).select(*KEY, "tenure", "pv", "bonus_pct")
     specs = [Rolling("pv_sum", "pv"), Rolling("bonus_max", "bonus_pct", "max")]
-    out = ro.rolling(p, "member_id", "month", specs, ALL_K)
-    return out.filter(F.col("tenure").between(1, 15)).drop("pv", "bonus_pct")
+    # Frames only look back: later rows can go before the window, earlier ones cannot.
+    out = ro.rolling(p.filter("tenure <= 15"), "member_id", "month", specs, ALL_K)
+    return out.filter(F.col("tenure") >= 1).drop("pv", "bonus_pct")
 
 
 @query(
