@@ -1,6 +1,6 @@
 """Fills the registry of this subpackage."""
 
-from memberlytics.llm import decontaminate, language, packing, pii, secrets, simhash  # noqa: F401
+from memberlytics.llm import decontaminate, language, multi_index, packing, pii, secrets, simhash  # noqa: F401
 from memberlytics.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
