@@ -97,33 +97,35 @@ def _predict(model: crf.Model, texts: list[str | None]) -> tuple[list[str], list
     return lang, score
 
 
-def predict(docs: DataFrame, model: crf.Model | None, keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (default: all) of ``docs``, which has a ``text``, plus lang_pred and score.
+def predict(
+    docs: DataFrame, model: crf.Model | None, keep: list[str] | None = None, names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """The columns ``keep`` (default: all) of ``docs``, which has a ``text``, plus the prediction and its score.
 
+    Columns of these two names in ``docs`` give way.
     A null text, or one without a letter, is ``und`` with score 0, and so is everything without a model.
     """
-    added = "lang_pred string, score double"
-    keep = [c for c in (keep or docs.columns) if c not in ("lang_pred", "score")]
+    keep = [c for c in (keep or docs.columns) if c not in names]
     base = docs.select(*keep)
     if model is None:
-        return base.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("score", F.lit(0.0))
+        return base.withColumn(names[0], F.lit(UNKNOWN)).withColumn(names[1], F.lit(0.0))
     key = hash((model.weights.tobytes(), model.move.tobytes(), *model.labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _MODELS.setdefault(key, model)  # a worker keeps the scores of the words that it has seen
         for b in batches:
-            lang, score = _predict(own, b.column("_text").to_pylist())
+            lang, score = _predict(own, b.column("__text").to_pylist())
             columns = [b.column(c) for c in keep] + [pa.array(lang, pa.string()), pa.array(score, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(columns, [*keep, *names])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
-    return docs.select(*keep, F.col("text").cast("string").alias("_text")).mapInArrow(run, f"{schema}, {added}")
+    return docs.select(*keep, F.col("text").cast("string").alias("__text")).mapInArrow(run, f"{schema}, {names[0]} string, {names[1]} double")
 
 
 def keep_known(docs: DataFrame, least: float = 0.4) -> DataFrame:
     """Rows whose language is recognised with at least that share of their words; all columns stay."""
-    p = predict(docs, fit(labelled_sample(docs)))
-    return p.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+    p = predict(docs, fit(labelled_sample(docs)), names=("__lang", "__score"))
+    return p.filter((F.col("__lang") != UNKNOWN) & (F.col("__score") >= least)).select(*docs.columns)
 
 
 @query("op7_language_crf")

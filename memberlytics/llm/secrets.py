@@ -20,8 +20,9 @@ TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 N = len(ALPHABET) + 1  # position 0: any other character
-#: Log-likelihood ratio from which a token counts as a secret, and the weight of the uniform prior of each pair.
-THRESHOLD, PRIOR = 12.0, 0.5
+#: Log-likelihood ratio from which a token counts as a secret, and the weights of the uniform prior of a character and of
+#: the character's own share in the prior of a pair.
+THRESHOLD, PRIOR, BACK_OFF = 12.0, 0.5, 4.0
 SPAN = "array<struct<start:int,end:int,value:string>>"
 BLOCK = 256
 
@@ -103,7 +104,10 @@ def train(labelled: DataFrame) -> list[float]:
         count[int(r["random"]), r["pair"] // N, r["pair"] % N] = r["n"]
     if not count.sum(axis=(1, 2)).all():
         return [0.0] * (N * N)
-    log = np.log((count + PRIOR) / (count.sum(axis=2, keepdims=True) + PRIOR * N))
+    single = count.sum(axis=1) + PRIOR
+    single /= single.sum(axis=1, keepdims=True)
+    # A character that follows one never seen before is judged by its own share.
+    log = np.log((count + BACK_OFF * single[:, None, :]) / (count.sum(axis=2, keepdims=True) + BACK_OFF))
     return [float(x) for x in np.round(log[1] - log[0], 9).ravel()]
 
 

@@ -116,7 +116,7 @@ def _batches(path: str, keep: list[str], edits: bool):
         encode = encoding(path).encode_ordinary
         ints = pa.list_(pa.int32())
         for b in batches:
-            texts = b.column("_text").to_pylist()
+            texts = b.column("__text").to_pylist()
             if not edits:
                 parts = [leaves(t or "") for t in texts]
                 tokens = [[len(encode(p)) for p in x] for x in parts]
@@ -124,7 +124,7 @@ def _batches(path: str, keep: list[str], edits: bool):
                 names = ["leaf_chars", "leaf_tokens"]
             else:
                 rows = []
-                for t, sizes, tokens, changes in zip(texts, *(b.column(c).to_pylist() for c in ("_sizes", "_tokens", "_edits"))):
+                for t, sizes, tokens, changes in zip(texts, *(b.column(c).to_pylist() for c in ("__sizes", "__tokens", "__edits"))):
                     before = sum(tokens or [])
                     if not changes:
                         rows.append((before, before, 0, t))
@@ -148,7 +148,7 @@ def _fields(df: DataFrame, keep: list[str]) -> str:
 def with_trees(docs: DataFrame, ranks: str) -> DataFrame:
     """All columns plus leaf_chars and leaf_tokens, the leaves of each row's tree; a null text has one empty leaf."""
     keep = [c for c in docs.columns if c not in ("leaf_chars", "leaf_tokens")]
-    d = docs.select(*keep, F.col("text").cast("string").alias("_text"))
+    d = docs.select(*keep, F.col("text").cast("string").alias("__text"))
     return d.mapInArrow(_batches(ranks, keep, False), f"{_fields(docs, keep)}, leaf_chars array<int>, leaf_tokens array<int>")
 
 
@@ -159,8 +159,8 @@ def count_edits(trees: DataFrame, edits: Column, ranks: str, keep: list[str]) ->
     an empty array changes nothing.  Gives ``keep``, n_tokens, n_tokens_edited, n_encoded_chars and edited_text.
     """
     d = trees.select(
-        *keep, F.col("text").cast("string").alias("_text"), F.col("leaf_chars").alias("_sizes"),
-        F.col("leaf_tokens").alias("_tokens"), edits.alias("_edits"),
+        *keep, F.col("text").cast("string").alias("__text"), F.col("leaf_chars").alias("__sizes"),
+        F.col("leaf_tokens").alias("__tokens"), edits.alias("__edits"),
     )
     added = "n_tokens long, n_tokens_edited long, n_encoded_chars long, edited_text string"
     return d.mapInArrow(_batches(ranks, keep, True), f"{_fields(trees, keep)}, {added}")
