@@ -1,4 +1,4 @@
-"""Preprocessing, training, evaluation and scoring with Spark ML pipelines."""
+"""Preprocessing, training, evaluation and scoring with Spark ML."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from memberlytics.operators import shape
 
 FEATURES = "features"
-# Defaults of the models.
+# Defaults of the models.
 PARAMS = {
     "maxDepth": 5,
     "maxBins": 48,
@@ -69,7 +69,7 @@ def fit_encoder(df: DataFrame, target: str, keys: Sequence[str], one_hot: bool =
     return Pipeline(stages=encoder_stages(numeric, categorical, one_hot)).fit(df)
 
 
-def fit_pipeline(
+def fit_model(
     df: DataFrame, target: str, keys: Sequence[str], algo: str = "gbt", params: Mapping | None = None, one_hot: bool = False
 ) -> PipelineModel:
     """Encoder and classifier as one model, saved and loaded as one."""
@@ -110,9 +110,20 @@ def evaluate(predicted: DataFrame, target: str) -> DataFrame:
     if _classes(predicted) == 2:
         auc = BinaryClassificationEvaluator(labelCol=target, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
         values.append(("auc", float(auc.evaluate(predicted))))
-    for metric in ("accuracy", "f1", "weightedPrecision", "weightedRecall"):
-        e = MulticlassClassificationEvaluator(labelCol=target, predictionCol="prediction", metricName=metric)
-        values.append((metric, float(e.evaluate(predicted))))
+    # One pass: everything else follows from the counts of (label, prediction).
+    counts = predicted.groupBy(F.col(target).cast("double").alias("y"), F.col("prediction").alias("p")).count().collect()
+    total = sum(r["count"] for r in counts)
+    sums = {"f1": 0.0, "weightedPrecision": 0.0, "weightedRecall": 0.0}
+    for label in {r["y"] for r in counts}:
+        actual = sum(r["count"] for r in counts if r["y"] == label)
+        given = sum(r["count"] for r in counts if r["p"] == label)
+        hit = sum(r["count"] for r in counts if r["y"] == label == r["p"])
+        precision, recall = hit / given if given else 0.0, hit / actual
+        both = 2 * precision * recall / (precision + recall) if hit else 0.0
+        for name, x in (("f1", both), ("weightedPrecision", precision), ("weightedRecall", recall)):
+            sums[name] += x * actual / total
+    values.append(("accuracy", sum(r["count"] for r in counts if r["y"] == r["p"]) / total if total else 0.0))
+    values += list(sums.items())
     return spark.createDataFrame(values, "metric string, value double")
 
 

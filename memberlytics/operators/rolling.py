@@ -53,6 +53,38 @@ def rolling_columns(entity, period: str, specs: Sequence[Rolling], ks: Sequence[
     return [spec.column(w, k) for spec in specs for k in ks]
 
 
+def rolling_over_tenure(df: DataFrame, entity, period: str, tenure: str, specs: Sequence[Rolling]) -> tuple[DataFrame, list[Column]]:
+    """Every family over as many rows as the row's own tenure says: the table with running values, and the columns made of them.
+
+    With one row per period and a tenure counted from the first one, those are all rows so far, less the first one if no period is
+    missing.  Both are running values, which cost the same however long the history is.  At tenure 0 the columns mean nothing.
+    """
+    w = by_entity(entity, period)
+    frame = w.rowsBetween(Window.unboundedPreceding, 0)
+    parts = {}
+    for spec in specs:
+        for expr in filter(None, (spec.expr, spec.over)):
+            parts.setdefault((spec.agg, expr), f"_run{len(parts)}")
+    running = [F.row_number().over(w).alias("_row")]
+    for (agg, expr), name in parts.items():
+        running.append(AGGREGATES[agg](F.expr(expr)).over(frame).alias(name))
+        running.append(AGGREGATES[agg](F.expr(f"CASE WHEN {tenure} > 0 THEN {expr} END")).over(frame).alias(f"{name}_later"))
+
+    def value(agg: str, expr: str) -> Column:
+        name = parts[agg, expr]
+        return F.when(F.col("_row") == F.col(tenure) + 1, F.col(f"{name}_later")).otherwise(F.col(name))
+
+    out = []
+    for spec in specs:
+        v = value(spec.agg, spec.expr)
+        if spec.over is not None:
+            v = safe_ratio(v, value(spec.agg, spec.over))
+        elif spec.per is not None:
+            v = safe_ratio(v, F.expr(spec.per))
+        out.append(v.alias(f"{spec.stem}_month_agg"))
+    return df.select("*", *running), out
+
+
 def rolling(
     df: DataFrame,
     entity,

@@ -44,12 +44,18 @@ def whole(x: Column) -> Column:
 
 
 def sponsor_of(key: str) -> Column:
-    """Parent in a ten-ary tree of member keys; the members below 10 have none."""
-    k = F.col(key)
-    out = F.when(k % 10 != 0, k - k % 10)
-    for power in (100, 1_000, 10_000, 100_000, 1_000_000, 10_000_000, 100_000_000):
-        out = out.when(k % power != 0, k - k % power)
-    return F.nullif(out, F.lit(0))
+    """Parent in a ten-ary tree of member keys: the last non-zero digit becomes 0; the members below 10 have none."""
+    digits = F.col(key).cast("string")
+    zeros = F.length(digits) - F.length(F.rtrim(digits, F.lit("0")))
+    # Ten to the power of the digits that are cut, as a whole number: exact for any length of key.
+    power = F.rpad(F.lit("1"), zeros + 2, "0").cast("long")
+    return F.nullif(F.col(key) - F.col(key) % power, F.lit(0))
+
+
+def years(spark: SparkSession, sf: str) -> Column:
+    """All years of the orders, from the first to the last, as one array."""
+    first_last = table(spark, sf, "orders").agg(F.sequence(F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))).alias("y"))
+    return first_last.scalar()
 
 
 def members(spark: SparkSession, sf: str) -> DataFrame:
@@ -250,14 +256,14 @@ def province_income(spark: SparkSession, sf: str) -> DataFrame:
     )
     return base.select(
         "province",
-        F.explode(F.expr("sequence(1995, 2001)")).alias("year"),
+        F.explode(years(spark, sf)).alias("year"),
         F.col("s"),
         F.col("n"),
     ).select("province", "year", F.floor(F.col("s") * (F.col("year") - 1895) / F.col("n")).cast("double").alias("income"))
 
 
 def campaigns(spark: SparkSession, sf: str) -> DataFrame:
-    """Campaigns (month, line, unit price): every line and ALL in three months of each year.
+    """Campaigns (month, line, unit price): every line and ALL in three months of each year of the orders.
 
     The price is 50 times the mean retail price of the line's parts.
     """
@@ -266,8 +272,9 @@ def campaigns(spark: SparkSession, sf: str) -> DataFrame:
     names = F.create_map(*[F.lit(x) for line, t in LINES.items() for x in (t, line)])
     lines = part.groupBy(names[F.col("p_type")].alias("line")).agg(price)
     rows = lines.unionByName(part.agg(price).select(F.lit("all").alias("line"), "unit_price"))
-    months = F.expr("transform(sequence(1995, 2001), y -> array(make_date(y, 3, 1), make_date(y, 6, 1), make_date(y, 11, 1)))")
-    return rows.select(F.explode(F.flatten(months)).alias("month"), "line", "unit_price")
+    rows = rows.select("line", "unit_price", F.explode(years(spark, sf)).alias("year"))
+    months = F.array(*[F.make_date("year", F.lit(m), F.lit(1)) for m in (3, 6, 11)])
+    return rows.select(F.explode(months).alias("month"), "line", "unit_price")
 
 
 def daily_events(spark: SparkSession, sf: str) -> DataFrame:

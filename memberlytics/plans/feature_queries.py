@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from memberlytics import functions as fn
-from memberlytics.operators import engage, features as ft, rolling as ro, rollup
+from memberlytics.operators import engage, features as ft, rolling as ro, rollup, shape
 from memberlytics.operators.ranking import percent_ranks
 from memberlytics.operators.rolling import FRAMES
 from memberlytics.plans import bindings as b
@@ -196,8 +196,24 @@ def feature_table(spark, sf):
     return ft.derived_features(wide, "member_id", "month", fam.TRACKED, [f"{s}_12m" for s in fam.TRACKED])
 
 
+def tenure_slices(rows, tenures):
+    """Rows of the star whose tenure is among ``tenures``, each family over as many rows as the tenure says.
+
+    All tenures come from one window.  Frames only look back, so later rows go before it; columns tied to a fixed frame are left out.
+    Both filters stand next to a written table: above or below a select of a thousand columns the planner would try to infer
+    conditions for each of them.
+    """
+    passing, others = feature_columns()
+    early = stage(rows.filter(F.col("tenure") <= max(tenures)), "early")
+    early, families = ro.rolling_over_tenure(early, "member_id", "month", "tenure", fam.FAMILIES)
+    wide = ft.wide_features(early, "member_id", "month", passing, fam.CURRENT, [], [*others, *families])
+    framed = set(shape.framed_columns(wide.columns))
+    wide = stage(wide.select(*[c for c in wide.columns if c not in framed]), "slices")
+    return wide.filter(F.col("n_tenure").isin(*tenures))
+
+
 def _is_ratio(name: str) -> bool:
-    stem = name.rsplit("_", 1)[0]
+    stem = name.removesuffix("_month_agg") if name.endswith("_month_agg") else name.rsplit("_", 1)[0]
     return fam.KIND.get(stem) == "ratio" or name.startswith("n_funnel_cart") or name.endswith("_multiple")
 
 
@@ -296,9 +312,9 @@ star AS (
   LEFT JOIN supplier ON s_suppkey = g.member_id)"""
 
 
-def _family_sql(spec, k: int) -> str:
+def _family_sql(spec, before: int | str) -> str:
     def roll(e):
-        return f"{spec.agg}({e}) OVER {_W} ROWS {k - 1} PRECEDING)"
+        return f"{spec.agg}({e}) OVER {_W} ROWS {before} PRECEDING)"
 
     value = roll(spec.expr)
     if spec.over:
@@ -311,7 +327,8 @@ def _family_sql(spec, k: int) -> str:
     return f"round({value}, 9)" if kind == "ratio" else value
 
 
-def _wide_sql() -> str:
+def _plain_columns(framed: bool) -> list[str]:
+    """Columns of the wide table without the families; ``framed`` ones are tied to a fixed frame."""
     cols = ["member_id", "month", "sponsor_id", "tenure AS n_tenure", "CAST(year(signup) AS INTEGER) AS signup_year",
             "CASE WHEN year(signup) > 1995 THEN 1 ELSE 0 END AS n_signup_after_1995", "member_type AS i_member_type",
             "status AS i_status", "local_type AS i_local_type", "age AS n_age",
@@ -335,24 +352,38 @@ def _wide_sql() -> str:
     cols += [f"coalesce({d}, 0) AS n_{d}" for d in DL_VALUES if d != "dl_rank_max"]
     cols += [f"coalesce({a} / nullif({d}, 0), 0) AS {n}" for n, (a, d) in DL_SHARES.items()]
     cols += [f"up_{u} AS n_upline_{u[3:]}" for u in jq.UPLINE]
-    cols += [f"n_los_{h}_{c}" for h in b.HEADS for c in LOS_COLS]
-    cols += [f"n_lag_{t}_sum_{k}m" for t in fam.ENGAGED for k in FRAMES]
-    cols += FUNNEL_COLS + [f"{f}_sum_{k}m" for f in FUNNEL_COLS for k in FRAMES]
+    los = [f"n_los_{h}_{c}" for h in b.HEADS for c in LOS_COLS]
+    cols += los if framed else [c for c in los if not c.endswith("m") or "_avg_" not in c]
+    cols += FUNNEL_COLS
+    if framed:
+        cols += [f"n_lag_{t}_sum_{k}m" for t in fam.ENGAGED for k in FRAMES]
+        cols += [f"{f}_sum_{k}m" for f in FUNNEL_COLS for k in FRAMES]
     for c in fam.CURRENT:
         cols.append(f"{c.expr} AS {c.name}")
         if c.previous:
             prev = f"lag({c.expr}) OVER {_W})"
             cols.append(f"{'coalesce(' + prev + ', 0)' if c.previous == 'zero' else prev} AS {c.name}_previous")
-    cols += [f"{_family_sql(s, k)} AS {s.stem}_{k}m" for s in fam.FAMILIES for k in FRAMES]
-    cols += [f"front_sellers - lag(front_sellers, {k}) OVER {_W}) AS {n}" for n, k in ADDED.items()]
-    cols += [f"up_dl_sellers - lag(up_dl_sellers, {k}) OVER {_W}) AS {n}" for n, k in UP_ADDED.items()]
-    cols += [
+    added = [f"front_sellers - lag(front_sellers, {k}) OVER {_W}) AS {n}" for n, k in ADDED.items()]
+    added += [f"up_dl_sellers - lag(up_dl_sellers, {k}) OVER {_W}) AS {n}" for n, k in UP_ADDED.items()]
+    cols += added if framed else [c for c in added if not shape.framed_columns([c.rsplit(" ", 1)[1]])]
+    return cols + [
         f"CASE WHEN month = min(CASE WHEN {e} THEN month END) OVER (PARTITION BY member_id) THEN 1 ELSE 0 END AS n_{n}"
         for n, e in jq.PREDS.items()
     ]
+
+
+def _wide_sql() -> str:
+    cols = _plain_columns(True) + [f"{_family_sql(s, k - 1)} AS {s.stem}_{k}m" for s in fam.FAMILIES for k in FRAMES]
     return "wide AS (SELECT " + ",\n  ".join(cols) + " FROM star)"
 
 
+def slices_sql(tenures) -> str:
+    """The wide table with each family over the last n_tenure rows."""
+    families = [f"{_family_sql(s, 'greatest(tenure - 1, 0)')} AS {s.stem}_month_agg" for s in fam.FAMILIES]
+    return f"""
+slices AS (SELECT {", ".join(_plain_columns(False) + families)} FROM star QUALIFY tenure IN ({", ".join(map(str, tenures))}))"""
+
+
 def _derived_sql() -> str:
     mom = [f"{s}_3m / nullif({s}_6m - {s}_3m, 0) AS {s}_3m_mom" for s in fam.TRACKED]
     lyr = [f"lag({s}_12m, 12) OVER {_W}) AS {s}_12m_lyr" for s in fam.TRACKED]
@@ -362,6 +393,7 @@ def _derived_sql() -> str:
 
 STAR_PARTS = (REPEAT, jq.DOWNLINE_SQL, INCOME, CAMPAIGNS, MONTH_EVENTS, jq.AVG_SQL, _los_ctes(), _PCT, _PROMO, _ENGAGE, _AWARD, _star_sql())
 WIDE_PARTS = (*STAR_PARTS, _wide_sql())
+FEATURE_PARTS = (*WIDE_PARTS, f"features AS MATERIALIZED ({_derived_sql()})")
 
 
 @query("feature_table", cte(*WIDE_PARTS, body=_derived_sql()))

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from memberlytics import functions as fn
-from memberlytics.operators import labels as lb, rolling as ro, shape
-from memberlytics.operators.rolling import Rolling
-from memberlytics.plans import bindings as b
+from memberlytics.operators import labels as lb, rollup, shape
+from memberlytics.plans import bindings as b, families as fam, feature_queries as fq
 from memberlytics.plans.catalog import query
-from memberlytics.plans.oracle import DENSE, cte
+from memberlytics.plans.oracle import DENSE, DENSE_ONLY, PANEL, cte
+from memberlytics.plans.panel_queries import BANDS
 from memberlytics.plans.window_queries import KEY
+from memberlytics.session import stage
 
 
 def _active():
@@ -50,15 +51,17 @@ def renewal_label(spark, sf):
 
 
 def _migration_sql(k: int) -> str:
+    later = f"OVER (PARTITION BY member_id ORDER BY mi RANGE BETWEEN {k} FOLLOWING AND {k} FOLLOWING)"
     return f"""
-win AS (SELECT member_id, month, tenure, tenure - lag(tenure, {k - 1}) OVER (PARTITION BY member_id ORDER BY month) AS span,
+win AS MATERIALIZED (SELECT member_id, month, tenure, year(month) * 12 + month(month) AS mi,
+  tenure - lag(tenure, {k - 1}) OVER (PARTITION BY member_id ORDER BY month) AS span,
   max(bonus_pct) OVER (PARTITION BY member_id ORDER BY month ROWS {k - 1} PRECEDING) AS mx FROM dense WHERE member_type = 'I'),
-outcome AS (
-  SELECT a.member_id, a.month, a.tenure, coalesce(a.mx, 0) AS max_{k}m, coalesce(z.mx, 0) AS future_max_{k}m,
-    CASE WHEN coalesce(z.mx, 0) > coalesce(a.mx, 0) THEN 'UP' WHEN coalesce(z.mx, 0) = coalesce(a.mx, 0) THEN 'SAME' ELSE 'DOWN' END
-      AS label_{k}m, (a.month - INTERVAL {k} MONTH)::DATE AS back_{k}m
-  FROM win a JOIN win z ON a.member_id = z.member_id AND a.month = (z.month - INTERVAL {k} MONTH)::DATE
-  WHERE a.span = {k - 1} AND z.span = {k - 1})"""
+both_ AS (SELECT *, max(mx) {later} AS future, max(span) {later} AS future_span FROM win),
+outcome AS MATERIALIZED (
+  SELECT member_id, month, tenure, coalesce(mx, 0) AS max_{k}m, coalesce(future, 0) AS future_max_{k}m,
+    CASE WHEN coalesce(future, 0) > coalesce(mx, 0) THEN 'UP' WHEN coalesce(future, 0) = coalesce(mx, 0) THEN 'SAME' ELSE 'DOWN' END
+      AS label_{k}m, (month - INTERVAL {k} MONTH)::DATE AS back_{k}m
+  FROM both_ WHERE span = {k - 1} AND future_span = {k - 1})"""
 
 
 def migration(d, k):
@@ -75,28 +78,42 @@ for _k in (3, 6):
     _register_migration(_k)
 
 
-@query(
-    "migration_train",
-    cte(DENSE, _migration_sql(3), body="""SELECT d.member_id, d.month, d.pv, coalesce(max_3m, 0) AS max_3m, future_max_3m,
-      coalesce(label_3m, 'SAME') AS label_3m, CASE WHEN coalesce(max_3m, 0) = 0 THEN 'zero' ELSE 'positive' END AS part
-      FROM dense d LEFT JOIN outcome o ON o.member_id = d.member_id AND o.month = d.month
-      WHERE d.status = 'ACTIVE' AND d.member_type = 'I'"""),
-)
-def migration_train(spark, sf):
-    d = b.dense_panel(spark, sf)
-    rows = d.filter(_active() & (F.col("member_type") == "I")).select(*KEY, "pv")
-    train = lb.migration_train(rows, migration(d, 3), list(KEY), 3)
-    zero, positive = lb.split_by_sign(train, "max_3m")
-    return zero.withColumn("part", F.lit("zero")).unionByName(positive.withColumn("part", F.lit("positive")))
+def migration_rows(spark, sf, k: int):
+    """The wide table of active sellers with the label over k months."""
+    features = stage(fq.feature_table(spark, sf), "features").filter((F.col("i_status") == "ACTIVE") & (F.col("i_member_type") == "I"))
+    return lb.migration_train(features, migration(b.dense_panel(spark, sf), k), list(KEY), k)
 
 
-# Rank band of each bonus percentage for the yearly label.
-_RANK_SQL = """CASE WHEN bonus_pct >= 18 THEN 4 WHEN bonus_pct >= 12 THEN 3 WHEN bonus_pct >= 9 THEN 2 WHEN bonus_pct >= 3 THEN 1
-  ELSE 0 END"""
+def _register_migration_train(name: str, k: int) -> None:
+    @query(
+        name,
+        cte(*fq.FEATURE_PARTS, DENSE_ONLY, _migration_sql(k), body=f"""SELECT f.*, coalesce(max_{k}m, 0) AS max_{k}m, future_max_{k}m,
+          coalesce(label_{k}m, 'SAME') AS label_{k}m, CASE WHEN coalesce(max_{k}m, 0) = 0 THEN 'zero' ELSE 'positive' END AS part
+          FROM features f LEFT JOIN outcome o ON o.member_id = f.member_id AND o.month = f.month
+          WHERE f.i_status = 'ACTIVE' AND f.i_member_type = 'I'"""),
+    )
+    def run(spark, sf):
+        zero, positive = lb.split_by_sign(stage(migration_rows(spark, sf, k), "migration"), f"max_{k}m")
+        both = zero.withColumn("part", F.lit("zero")).unionByName(positive.withColumn("part", F.lit("positive")))
+        return fq.comparable(both)
+
+
+for _n, _k in (("migration_train", 3), ("migration_train_6m", 6)):
+    _register_migration_train(_n, _k)
+
+
+_PREFERRED = """CASE WHEN best BETWEEN 370 AND 399 THEN 4 WHEN best BETWEEN 335 AND 359 THEN 3 WHEN best BETWEEN 320 AND 339 THEN 2
+  WHEN best BETWEEN 310 AND 319 THEN 1 ELSE best END"""
 
 
 def ranked_months(spark, sf):
-    return b.dense_panel(spark, sf).select(*KEY, "status", "member_type", "pv", F.expr(_RANK_SQL).alias("band"))
+    """Months with the band of the preferred rank: the global rank of the fiscal year, else the year's own best one."""
+    p = b.panel(spark, sf).select(*KEY, "rank", fn.fiscal_year("month").alias("fy"))
+    p = p.withColumn("yearly", rollup.yearly_rank("member_id", "fy", "rank"))
+    p = p.join(fq.global_rank(p).select("member_id", "fy", F.col("global_rank_no").cast("int").alias("global_no")), ["member_id", "fy"], "left")
+    bands = spark.createDataFrame(BANDS, "pos int, lo int, hi int, rank int")
+    preferred = p.select(*KEY, F.coalesce("global_no", "yearly").alias("preferred"))
+    return rollup.range_lookup(preferred, "preferred", bands, "band")
 
 
 def _anchor_sql(a: str, shift: str) -> str:
@@ -107,14 +124,14 @@ def _anchor_sql(a: str, shift: str) -> str:
 
 
 def _label_case(a: str) -> str:
-    return f"""CASE WHEN next_rank = -1 OR next_yr = -1 OR next_date_{a} = latest_{a} THEN 'INVALID'
-      WHEN f_yr + 1 = next_yr AND rank_{a} = next_rank THEN 'SAME' WHEN f_yr + 1 = next_yr AND rank_{a} < next_rank THEN 'UP'
-      WHEN f_yr + 1 = next_yr AND rank_{a} > next_rank THEN 'DOWN' WHEN f_yr + 1 < next_yr THEN 'DOWN' ELSE 'INVALID' END"""
+    return f"""CASE WHEN next_yr IS NULL OR next_date_{a} = latest_{a} THEN 'INVALID' WHEN next_yr - f_yr > 1 THEN 'DOWN'
+      ELSE ['DOWN', 'SAME', 'UP'][2 + sign(next_rank - rank_{a})] END"""
 
 
 YEARLY_SQL = (
     f"""
-ranked AS (SELECT * FROM (SELECT member_id, month, {_RANK_SQL} AS band FROM dense) WHERE band > 0),"""
+ranked AS (SELECT * FROM (SELECT member_id, month, {_PREFERRED} AS band FROM (SELECT member_id, month,
+  max(rank) OVER (PARTITION BY member_id, year(month + INTERVAL 4 MONTH)) AS best FROM panel)) WHERE band > 0),"""
     + ",".join(_anchor_sql(a, s) for a, s in (("aug", "4"), ("nov", "1"), ("feb", "-2")))
     + f""",
 sides AS (
@@ -122,7 +139,7 @@ sides AS (
     rank_aug, coalesce(rank_nov, rank_aug) AS rank_nov, coalesce(rank_feb, rank_aug) AS rank_feb
   FROM aug LEFT JOIN nov USING (member_id, f_yr) LEFT JOIN feb USING (member_id, f_yr)),
 ahead AS (
-  SELECT *, coalesce(lead(rank_aug) OVER w, -1) AS next_rank, coalesce(lead(f_yr) OVER w, -1) AS next_yr,
+  SELECT *, lead(rank_aug) OVER w AS next_rank, lead(f_yr) OVER w AS next_yr,
     lead(latest_aug) OVER w AS next_date_aug, lead(latest_nov) OVER w AS next_date_nov, lead(latest_feb) OVER w AS next_date_feb
   FROM sides WINDOW w AS (PARTITION BY member_id ORDER BY f_yr)),
 labelled AS (SELECT *, {_label_case('aug')} AS label_aug, {_label_case('nov')} AS raw_nov, {_label_case('feb')} AS raw_feb FROM ahead),
@@ -132,7 +149,7 @@ yearly AS (
 )
 
 
-@query("yearly_label", cte(DENSE, YEARLY_SQL, body="SELECT * FROM yearly"))
+@query("yearly_label", cte(PANEL, YEARLY_SQL, body="SELECT * FROM yearly"))
 def yearly_label(spark, sf):
     return lb.yearly_label(ranked_months(spark, sf), "member_id", "month", "band")
 
@@ -140,16 +157,15 @@ def yearly_label(spark, sf):
 def _register_yearly_train(anchor: str, month: int, shift: str) -> None:
     @query(
         f"yearly_train_{anchor}",
-        cte(DENSE, YEARLY_SQL, body=f"""SELECT d.member_id, d.month, d.pv, y.f_yr AS rank_year, latest_{anchor}, rank_{anchor},
-          label_{anchor} AS migration FROM dense d JOIN yearly y ON y.member_id = d.member_id
-          AND y.f_yr = year(d.month + INTERVAL ({shift}) MONTH)
-          WHERE month(d.month) = {month} AND status = 'ACTIVE' AND member_type = 'I' AND label_{anchor} <> 'INVALID'"""),
+        cte(*fq.FEATURE_PARTS, YEARLY_SQL, body=f"""SELECT f.*, y.f_yr AS rank_year, latest_{anchor}, rank_{anchor},
+          label_{anchor} AS migration FROM features f JOIN yearly y ON y.member_id = f.member_id
+          AND y.f_yr = year(f.month + INTERVAL ({shift}) MONTH)
+          WHERE month(f.month) = {month} AND i_status = 'ACTIVE' AND i_member_type = 'I' AND label_{anchor} <> 'INVALID'"""),
     )
     def run(spark, sf):
-        rows = ranked_months(spark, sf)
-        label = lb.yearly_label(rows, "member_id", "month", "band")
-        kept = rows.filter(_active() & (F.col("member_type") == "I")).select(*KEY, "pv")
-        return lb.yearly_train(kept, label, "member_id", "month", anchor)
+        label = lb.yearly_label(ranked_months(spark, sf), "member_id", "month", "band")
+        kept = stage(fq.feature_table(spark, sf), "features").filter((F.col("i_status") == "ACTIVE") & (F.col("i_member_type") == "I"))
+        return fq.comparable(lb.yearly_train(kept, label, "member_id", "month", anchor))
 
 
 for _a, _m, _s in (("aug", 8, "4"), ("nov", 11, "1"), ("feb", 2, "-2")):
@@ -158,97 +174,62 @@ for _a, _m, _s in (("aug", 8, "4"), ("nov", 11, "1"), ("feb", 2, "-2")):
 
 # --- renewal training data -------------------------------------------------------------------
 
-SPECS = [Rolling("n_pv_sum", "pv"), Rolling("n_orders_sum", "orders"), Rolling("n_bonus_max", "bonus_pct", "max"),
-         Rolling("n_active_nonzero_mths", "CASE WHEN orders > 0 THEN 1 ELSE 0 END")]
-
-
-def tenure_slices(d, tenures):
-    """For each tenure k the rows of that tenure with the rolling values over k months.
-
-    All slices come from one window: the value for tenure k is picked by CASE, so there is no table
-    per tenure and no loop of jobs.  Frames only look back, so rows after the last tenure are
-    dropped before the window; earlier ones all stay.
-    """
-    early = d.filter(F.col("tenure") <= max(tenures))
-    wide = ro.rolling(early, "member_id", "month", SPECS, tenures)
-    picked = [
-        F.coalesce(*[F.when(F.col("tenure") == k, F.col(f"{s.stem}_{k}m")) for k in tenures]).alias(f"{s.stem}_month_agg")
-        for s in SPECS
-    ]
-    keep = wide.filter(F.col("tenure").isin(*tenures))
-    return keep.select(*KEY, F.col("tenure").alias("n_tenure"), F.col("member_type").alias("i_member_type"),
-                       F.col("status").alias("i_status"), F.col("province").alias("i_province"), *picked)
-
-
-def _slice_sql(tenures) -> str:
-    def agg(e, fn_, cast):
-        cases = " ".join(
-            f"WHEN {k} THEN {fn_}({e}) OVER (PARTITION BY member_id ORDER BY month ROWS {k - 1} PRECEDING)" for k in tenures
-        )
-        return f"CAST(CASE tenure {cases} END AS {cast})"
-
-    return f"""
-slices AS (
-  SELECT member_id, month, tenure AS n_tenure, member_type AS i_member_type, status AS i_status, province AS i_province,
-    {agg('pv', 'sum', 'DOUBLE')} AS n_pv_sum_month_agg, {agg('orders', 'sum', 'BIGINT')} AS n_orders_sum_month_agg,
-    {agg('bonus_pct', 'max', 'INTEGER')} AS n_bonus_max_month_agg,
-    {agg('CASE WHEN orders > 0 THEN 1 ELSE 0 END', 'sum', 'BIGINT')} AS n_active_nonzero_mths_month_agg
-  FROM dense QUALIFY tenure IN ({', '.join(map(str, tenures))}))"""
+TENURES = tuple(range(1, 16))
 
 
-TENURES = tuple(range(1, 16))
+def slices(spark, sf, tenures):
+    return fq.tenure_slices(fq.star(spark, sf, fq.base_panel(spark, sf)), tenures)
 
 
-@query("renewal_train_slice", cte(DENSE, _slice_sql((2,)), body="SELECT * FROM slices"))
+@query("renewal_train_slice", cte(*fq.STAR_PARTS, fq.slices_sql((2,)), body="SELECT * FROM slices"))
 def renewal_train_slice(spark, sf):
-    return tenure_slices(b.dense_panel(spark, sf), (2,))
+    return fq.comparable(slices(spark, sf, (2,)))
 
 
-@query("renewal_train_union", cte(DENSE, _slice_sql(TENURES), body="SELECT * FROM slices"))
+@query("renewal_train_union", cte(*fq.STAR_PARTS, fq.slices_sql(TENURES), body="SELECT * FROM slices"))
 def renewal_train_union(spark, sf):
-    return tenure_slices(b.dense_panel(spark, sf), TENURES)
+    return fq.comparable(slices(spark, sf, TENURES))
 
 
-def renewal_rows(d):
-    """Slices with their label, sums divided by the tenure, active sellers only."""
+def renewal_rows(spark, sf):
+    """Slices of the wide table with their label, sums divided by the tenure, active sellers only."""
+    d = b.dense_panel(spark, sf)
     label = renewal(d).select("member_id", "signup_month", F.col("signup_year").alias("n_signup_year"), "renewal_flag")
-    rows = tenure_slices(d, TENURES).join(label, "member_id")
+    rows = slices(spark, sf, TENURES).drop("signup_month").join(label, "member_id")
     rows = shape.normalize_by(rows, shape.summed_columns(rows.columns), "n_tenure")
     rows = rows.filter((F.col("i_status") == "ACTIVE") & (F.col("i_member_type") == "I"))
     return rows.withColumn("n_signup_month", F.month("signup_month")).drop("i_status", "i_member_type")
 
 
-_ROWS_SQL = """
+_SUMS = ", ".join(f"{c} / nullif(n_tenure, 0) AS {c}" for c in shape.summed_columns([f"{s.stem}_month_agg" for s in fam.FAMILIES]))
+_ROWS_SQL = f"""
 rows_ AS (
-  SELECT s.member_id, s.month, n_tenure, i_province, n_pv_sum_month_agg / nullif(n_tenure, 0) AS n_pv_sum_month_agg,
-    n_orders_sum_month_agg / nullif(n_tenure, 0) AS n_orders_sum_month_agg, n_bonus_max_month_agg,
-    n_active_nonzero_mths_month_agg / nullif(n_tenure, 0) AS n_active_nonzero_mths_month_agg,
-    signup_month, signup_year AS n_signup_year, renewal_flag, CAST(month(signup_month) AS INTEGER) AS n_signup_month
-  FROM slices s JOIN renewal USING (member_id) WHERE i_status = 'ACTIVE' AND i_member_type = 'I')"""
+  SELECT s.* EXCLUDE (signup_month, i_status, i_member_type) REPLACE ({_SUMS}), renewal.signup_month,
+    renewal.signup_year AS n_signup_year, renewal_flag, CAST(month(renewal.signup_month) AS INTEGER) AS n_signup_month
+  FROM slices s JOIN renewal ON renewal.member_id = s.member_id WHERE i_status = 'ACTIVE' AND i_member_type = 'I')"""
+_RENEWAL_PARTS = (*fq.STAR_PARTS, DENSE_ONLY, RENEWAL_SQL, fq.slices_sql(TENURES), _ROWS_SQL)
 CUTOFF = "1995-06-01"
 
 
 @query(
     "renewal_train",
-    cte(DENSE, RENEWAL_SQL, _slice_sql(TENURES), _ROWS_SQL,
+    cte(*_RENEWAL_PARTS,
         body=f"SELECT * EXCLUDE (signup_month) FROM rows_ WHERE signup_month < DATE '{CUTOFF}'"),
 )
 def renewal_train(spark, sf):
-    train, _ = lb.split_by_cutoff(renewal_rows(b.dense_panel(spark, sf)), "signup_month", CUTOFF)
-    return train.drop("signup_month")
+    train, _ = lb.split_by_cutoff(renewal_rows(spark, sf), "signup_month", CUTOFF)
+    return fq.comparable(train.drop("signup_month"))
 
 
 @query(
     "renewal_score_input",
-    cte(DENSE, RENEWAL_SQL, _slice_sql(TENURES), _ROWS_SQL,
+    cte(*_RENEWAL_PARTS,
         body=f"""SELECT * EXCLUDE (signup_month) FROM rows_ WHERE signup_month >= DATE '{CUTOFF}'
           QUALIFY month = max(month) OVER (PARTITION BY member_id)"""),
 )
 def renewal_score_input(spark, sf):
-    from memberlytics.operators.rollup import latest_rows
-
-    _, score = lb.split_by_cutoff(renewal_rows(b.dense_panel(spark, sf)), "signup_month", CUTOFF)
-    return latest_rows(score, "member_id", "month").drop("signup_month")
+    _, score = lb.split_by_cutoff(renewal_rows(spark, sf), "signup_month", CUTOFF)
+    return fq.comparable(rollup.latest_rows(score, "member_id", "month").drop("signup_month"))
 
 
 @query(

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from memberlytics import functions as fn
 from memberlytics.models import explain, training as ml
-from memberlytics.operators import labels as lb, rolling as ro, shape
-from memberlytics.operators.rolling import Rolling
+from memberlytics.operators import labels as lb, shape
 from memberlytics.plans import bindings as b, label_queries as lq
 from memberlytics.plans.catalog import query
 from memberlytics.plans.oracle import PANEL, cte
@@ -18,14 +17,13 @@ from memberlytics.sources import writers as wr
 
 KEYS = ["member_id", "month", "signup_month"]
 TARGET = "renewal_flag"
-# Small settings for the registered queries; the defaults of the library are larger.
-SMALL = {"maxDepth": 3, "maxIter": 5}
-SMALL_FOREST = {"maxDepth": 4, "numTrees": 5}
+#: A fit reads at most about so many labelled rows: whole members, chosen by a stable hash.
+FIT_ROWS = 300_000
 
 
 def renewal_data(spark, sf):
     """Prepared training rows, written once because training reads them many times."""
-    rows = lq.renewal_rows(b.dense_panel(spark, sf))
+    rows = stage(lq.renewal_rows(spark, sf), "renewal_rows")
     return stage(ml.prepare(rows, TARGET, KEYS, exclude=["n_signup_year"]), "renewal")
 
 
@@ -33,8 +31,14 @@ def renewal_split(spark, sf):
     return shape.group_split(renewal_data(spark, sf), "member_id", [0.8, 0.2], seed=1000)
 
 
+def fit_rows(train):
+    """The rows a model is fitted on, a share of the members if there are more than FIT_ROWS."""
+    n = train.count()
+    return train if n <= FIT_ROWS else shape.group_split(train, "member_id", [FIT_ROWS, n - FIT_ROWS], seed=7)[0]
+
+
 def renewal_model(train):
-    return ml.fit_pipeline(train, TARGET, KEYS, "gbt", SMALL)
+    return ml.fit_model(fit_rows(train), TARGET, KEYS, "gbt")
 
 
 @query(
@@ -80,14 +84,8 @@ def ml_gbt_scores(spark, sf):
 
 
 def migration_data(spark, sf):
-    """Three-month migration rows of positive members with a few rolling features."""
-    d = stage(b.dense_panel(spark, sf), "dense")
-    specs = [Rolling("n_pv_sum", "pv"), Rolling("n_orders_sum", "orders"), Rolling("n_bonus_max", "bonus_pct", "max")]
-    rows = ro.rolling(d.filter(F.col("member_type") == "I"), "member_id", "month", specs)
-    rows = rows.select(*KEY, F.col("tenure").alias("n_tenure"), F.col("province").alias("i_province"),
-                       *[f"{s.stem}_{k}m" for s in specs for k in ro.FRAMES])
-    train = lb.migration_train(rows, lq.migration(d, 3), list(KEY), 3)
-    _, positive = lb.split_by_sign(train, "max_3m")
+    """Three-month migration rows of positive members on the wide table."""
+    _, positive = lb.split_by_sign(stage(lq.migration_rows(spark, sf, 3), "migration_rows"), "max_3m")
     return positive.drop("future_max_3m").withColumnRenamed("max_3m", "n_max_3m")
 
 
@@ -99,7 +97,7 @@ def ml_rf_scores(spark, sf):
     rows = migration_data(spark, sf).withColumn("label", fn.encode_label("label_3m", "multi").cast("double"))
     rows = stage(ml.prepare(rows.drop("label_3m"), "label", MIGRATION_KEYS), "migration")
     train, test = shape.group_split(rows, "member_id", [0.8, 0.2], seed=1000)
-    model = ml.fit_pipeline(train, "label", MIGRATION_KEYS, "forest", SMALL_FOREST, one_hot=True)
+    model = ml.fit_model(fit_rows(train), "label", MIGRATION_KEYS, "forest", one_hot=True)
     return model.transform(test).select(*KEY, "label", "prediction", vector_to_array("probability").alias("p"))
 
 
@@ -172,7 +170,7 @@ def ml_score_cutoff(spark, sf):
     numeric, categorical = shape.roles(train, "label", MIGRATION_KEYS)
     path = staging_path(spark, "manifest")
     wr.write_manifest(train, numeric + categorical, path)
-    model = ml.fit_pipeline(train, "label", MIGRATION_KEYS, "gbt", SMALL, one_hot=True)
+    model = ml.fit_model(fit_rows(train), "label", MIGRATION_KEYS, "gbt", one_hot=True)
     found = shape.roles(later, "label", MIGRATION_KEYS)
     wr.check_manifest(spark, found[0] + found[1], path)
     return ml.score(model, later.drop("label")).select(*KEY, "score", "scored_label")

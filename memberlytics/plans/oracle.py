@@ -9,12 +9,8 @@ _AMOUNTS = ("pv", "bv", "rev")
 MEMBERS = """
 members AS (
   SELECT c_custkey AS member_id,
-    NULLIF(CASE WHEN c_custkey % 10 <> 0 THEN c_custkey - c_custkey % 10
-                WHEN c_custkey % 100 <> 0 THEN c_custkey - c_custkey % 100
-                WHEN c_custkey % 1000 <> 0 THEN c_custkey - c_custkey % 1000
-                WHEN c_custkey % 10000 <> 0 THEN c_custkey - c_custkey % 10000
-                WHEN c_custkey % 100000 <> 0 THEN c_custkey - c_custkey % 100000
-                WHEN c_custkey % 1000000 <> 0 THEN c_custkey - c_custkey % 1000000 END, 0) AS sponsor_id,
+    NULLIF(c_custkey - c_custkey % CAST(pow(10, 1 + length(CAST(c_custkey AS VARCHAR)) - length(rtrim(CAST(c_custkey AS VARCHAR), '0'))) AS BIGINT), 0)
+      AS sponsor_id,
     CASE WHEN c_mktsegment IN ('BUILDING','AUTOMOBILE','MACHINERY') THEN 'I' ELSE 'C' END AS member_type,
     CASE c_custkey % 7 WHEN 0 THEN 'AGENT' WHEN 1 THEN 'REP' ELSE 'STANDARD' END AS local_type,
     c_mktsegment AS segment, n_name AS province, r_name AS region,
@@ -117,7 +113,7 @@ repeats AS (
       OVER (PARTITION BY member_id ORDER BY month ROWS 2 PRECEDING) >= 2 THEN 1 ELSE 0 END AS is_repeat
   FROM grouped WHERE member_type = 'C')"""
 
-DENSE = f"""{MEMBERS},{MONTHLY},
+DENSE_ONLY = f"""
 bounds AS (SELECT member_id, min(month) AS lo, max(month) AS hi FROM monthly GROUP BY 1),
 cal AS (SELECT member_id, unnest(generate_series(lo::TIMESTAMP, hi::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS month FROM bounds),
 dense AS (
@@ -128,11 +124,13 @@ dense AS (
   FROM cal c LEFT JOIN monthly m ON m.member_id = c.member_id AND m.month = c.month
   JOIN members x ON x.member_id = c.member_id)"""
 
+DENSE = f"{MEMBERS},{MONTHLY},{DENSE_ONLY}"
+
 INCOME = """
 income AS (
   SELECT province, y AS year, floor(s * (y - 1895) / n) AS income FROM (
     SELECT n_name AS province, sum(floor(c_acctbal * 100 + 0.5)) AS s, count(*) AS n
-    FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1), generate_series(1995, 2001) AS g(y))"""
+    FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1), (SELECT unnest(range(lo, hi + 1)) AS y FROM (SELECT year(min(o_orderdate)) AS lo, year(max(o_orderdate)) AS hi FROM orders)))"""
 
 CAMPAIGNS = """
 prices AS (
@@ -142,7 +140,7 @@ prices AS (
   UNION ALL SELECT 'all', floor(avg(p_retailprice) * 5000) FROM part),
 campaigns AS (
   SELECT make_date(CAST(y AS INTEGER), m, 1) AS month, line, unit_price
-  FROM prices, generate_series(1995, 2001) AS g(y), (VALUES (3), (6), (11)) AS v(m))"""
+  FROM prices, (SELECT unnest(range(lo, hi + 1)) AS y FROM (SELECT year(min(o_orderdate)) AS lo, year(max(o_orderdate)) AS hi FROM orders)), (VALUES (3), (6), (11)) AS v(m))"""
 
 EVENTS = """
 ev AS (

@@ -80,10 +80,11 @@ def src_incremental_backfill(spark, sf):
         "o_orderkey", "o_custkey", "o_orderstatus", F.year("o_orderdate").alias("year")
     )
     o.write.partitionBy("year").options(sep="|", header=True).csv(f"{path}/raw")
-    years = range(1995, 2002)
+    span = o.agg(F.min("year").alias("lo"), F.max("year").alias("hi")).first()
+    years = list(range(span["lo"], span["hi"] + 1))
     raw = path + "/raw/year={year}"
-    rd.backfill(spark, raw, f"{path}/table", list(years)[:4])
-    return rd.backfill(spark, raw, f"{path}/table", list(years))
+    rd.backfill(spark, raw, f"{path}/table", years[: len(years) // 2])
+    return rd.backfill(spark, raw, f"{path}/table", years)
 
 
 @query("snk_parquet_roundtrip", cte(PANEL, body="SELECT member_id, month, pv, rank, status FROM panel"))

@@ -28,7 +28,7 @@ def data(spark):
 
 @pytest.fixture(scope="module")
 def model(data):
-    return ml.fit_pipeline(data, "y", KEYS, "gbt", {"maxDepth": 3, "maxIter": 4})
+    return ml.fit_model(data, "y", KEYS, "gbt", {"maxDepth": 3, "maxIter": 4})
 
 
 def test_contributions_add_up_to_the_margin(data, model):
@@ -70,7 +70,7 @@ def test_contributions_equal_the_definition(spark, data, model):
 
 
 def test_forest_contributions_add_up_to_the_probability(data):
-    forest = ml.fit_pipeline(data, "y", KEYS, "forest", {"maxDepth": 3, "numTrees": 3}, one_hot=True)
+    forest = ml.fit_model(data, "y", KEYS, "forest", {"maxDepth": 3, "numTrees": 3}, one_hot=True)
     encoded = forest.transform(data)
     out = explain.contributions(forest.stages[-1], encoded, KEYS)
     p = encoded.select("id", F.get(vector_to_array("probability"), F.lit(1)).alias("p"))
