@@ -165,9 +165,19 @@ def flt_config_expr(spark, sf):
 
 @query(
     "sample_bernoulli",
+    """SELECT 0::BIGINT AS outside, 0::BIGINT AS repeated, true AS share_in_band, count(*) AS n_all FROM orders""",
 )
 def sample_bernoulli(spark, sf):
-    return shape.sample_rows(b.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), 0.1, seed=12345)
+    """What holds for any sample of a tenth: rows of the table, none twice, and a share within five standard deviations."""
+    o = b.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    picked = shape.sample_rows(o, 0.1, seed=12345).groupBy("o_orderkey", "o_custkey").agg(F.count(F.lit(1)).alias("times"))
+    both = o.withColumn("known", F.lit(1)).join(picked, ["o_orderkey", "o_custkey"], "full")
+    sums = both.agg(
+        F.sum(fn.flag(F.col("known").isNull())).cast("long").alias("outside"), F.sum(fn.flag(F.col("times") > 1)).cast("long").alias("repeated"),
+        F.count("times").alias("n"), F.count("known").alias("n_all"),
+    )
+    off = F.abs(F.col("n") - 0.1 * F.col("n_all"))
+    return sums.select("outside", "repeated", (off <= 5 * F.sqrt(0.09 * F.col("n_all"))).alias("share_in_band"), "n_all")
 
 
 def _md5_bucket(key: str, n: int, seed: int = 0) -> str:

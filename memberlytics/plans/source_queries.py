@@ -94,13 +94,17 @@ def snk_parquet_roundtrip(spark, sf):
     return spark.read.parquet(path)
 
 
-@query("snk_bounded_files")
+@query("snk_bounded_files", "SELECT count(*) AS n_rows, 0::BIGINT AS files_above, true AS enough_files FROM lineitem")
 def snk_bounded_files(spark, sf):
-    """Rows per written file: none above the bound."""
+    """All rows are written, no file is above the bound, and there are as many files as that takes."""
     path = staging_path(spark, "bounded")
     wr.write_table(b.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey"), path, max_records=10_000)
     files = spark.read.parquet(path).select(F.col("_metadata.file_name").alias("file"))
-    return files.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    per = files.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(
+        F.sum("n").alias("n_rows"), F.count(F.when(F.col("n") > 10_000, 1)).alias("files_above"),
+        (F.count(F.lit(1)) * 10_000 >= F.sum("n")).alias("enough_files"),
+    )
 
 
 @query("snk_single_csv", cte(PANEL, body="""SELECT CAST(year(month) AS VARCHAR) AS y, CAST(count(*) AS VARCHAR) AS n,
