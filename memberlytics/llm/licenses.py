@@ -5,10 +5,13 @@ The canonical form drops case, punctuation, copyright lines and differences of s
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from memberlytics.llm.registry import query, table
+from memberlytics.llm.secrets import let
 from memberlytics.llm.text import WORD_BREAK, lower_ascii
 from memberlytics.session import stage
 
@@ -55,12 +58,20 @@ KNOWN = (
 
 def canonical(text: Column) -> Column:
     """Canonical words joined by single blanks; empty if nothing is left."""
-    t = F.regexp_replace(lower_ascii(text), COPYRIGHT, "\n")
-    t = F.trim(F.regexp_replace(t, WORD_BREAK, " "))
-    same = t
-    for a, b in SPELLINGS:
-        same = F.regexp_replace(same, rf"\b{a}", b)
-    return F.when(t.rlike(r"\b(" + "|".join(a for a, _ in SPELLINGS) + ")"), same).otherwise(t)
+
+    def holds(t: Column, parts: list[str]) -> Column:
+        return reduce(lambda x, y: x | y, [F.contains(t, F.lit(p)) for p in parts])
+
+    def without_copyright(t: Column) -> Column:
+        kept = F.regexp_replace(t, COPYRIGHT, "\n")
+        return F.trim(F.regexp_replace(F.when(holds(t, ["copyright", "(c)", "©"]), kept).otherwise(t), WORD_BREAK, " "))
+
+    def same_spelling(t: Column) -> Column:
+        same = reduce(lambda x, p: F.regexp_replace(x, rf"\b{p[0]}", p[1]), SPELLINGS, t)
+        return F.when(holds(t, [a for a, _ in SPELLINGS]), same).otherwise(t)
+
+    # Plain searches decide whether a pattern has to run; most texts need neither.
+    return let(let(lower_ascii(text), without_copyright), same_spelling)
 
 
 def digests(licences: DataFrame) -> DataFrame:
