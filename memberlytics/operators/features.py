@@ -40,8 +40,7 @@ def packed(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
 def star_join(df: DataFrame, lookups: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
     """Left joins in the given order, each side packed under its name and unique on its keys.
 
-    No broadcast is forced: the planner broadcasts a side when its measured size allows and
-    otherwise joins by hash or sort with run-time skew handling.
+    A side may carry a broadcast mark (``session.broadcast_if_small``); the planner decides on the others.
     """
     for name, side, keys in lookups:
         df = df.join(packed(side, list(keys), name), list(keys), "left")

@@ -14,7 +14,7 @@ from memberlytics.plans import join_queries as jq
 from memberlytics.plans.catalog import query
 from memberlytics.plans.oracle import CAMPAIGNS, INCOME, MONTH_EVENTS, REPEAT, cte
 from memberlytics.plans.window_queries import KEY, MEASURES, SCOPES, active_sellers
-from memberlytics.session import stage, stage_all
+from memberlytics.session import broadcast_if_small, stage, stage_all
 
 LOS_COLS = [
     "head_exists", "leaves", "pv_per_member", "sellers", "sellers_engaged", "customers", "customers_repeat",
@@ -112,7 +112,13 @@ def support_tables(spark, sf, p):
         "funnel": monthly_funnel(spark, sf),
         "global_rank": global_rank(p),
     }
-    return stage_all(tables)
+    few = {
+        **{f"avg_{prefix}": jq.scope_averages(active_only(p), prefix) for prefix in jq.AVG_SCOPES},
+        "inc": b.province_income(spark, sf),
+        "camp": rollup.campaigns_by_period(b.campaigns(spark, sf), "month"),
+    }
+    small = {name: broadcast_if_small(table, name) for name, table in few.items()}
+    return stage_all(tables) | small
 
 
 STAR_KEYS = [*KEY, "sponsor_id", "province", "year", "fy", "rank", "yearly_rank", *[f"{h}_head" for h in b.HEADS]]
@@ -121,13 +127,13 @@ STAR_KEYS = [*KEY, "sponsor_id", "province", "year", "fy", "rank", "yearly_rank"
 def star(spark, sf, p):
     """Panel rows with every lookup attached; still one row per (member, month)."""
     t = support_tables(spark, sf, p)
-    down, act = t["downline"], active_only(p)
+    down = t["downline"]
     own = down.filter(F.col("sponsor_id").isNotNull()).withColumnRenamed("sponsor_id", "member_id")
     names = jq.rank_names(spark)
     lookups = [
-        *[(f"avg_{prefix}", jq.scope_averages(act, prefix), by) for prefix, by in jq.AVG_SCOPES.items()],
-        ("inc", b.province_income(spark, sf), ["province", "year"]),
-        ("camp", rollup.campaigns_by_period(b.campaigns(spark, sf), "month"), ["month"]),
+        *[(f"avg_{prefix}", t[f"avg_{prefix}"], by) for prefix, by in jq.AVG_SCOPES.items()],
+        ("inc", t["inc"], ["province", "year"]),
+        ("camp", t["camp"], ["month"]),
         ("mname", names.withColumnRenamed("rank_name", "monthly_name"), ["rank"]),
         ("yname", names.toDF("yearly_rank", "yearly_name"), ["yearly_rank"]),
         *[(f"los_{h}", los_lookup(t["heads"], h), [f"{h}_head", "month"]) for h in b.HEADS],

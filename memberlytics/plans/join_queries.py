@@ -10,6 +10,7 @@ from memberlytics.operators.rolling import FRAMES
 from memberlytics.plans import bindings as b
 from memberlytics.plans.catalog import query
 from memberlytics.plans.oracle import CAMPAIGNS, EVENTS, GROUPED, MEMBERS, MONTH_EVENTS, PANEL, REPEAT, cte
+from memberlytics.session import broadcast_if_small, stage
 from memberlytics.plans.window_queries import KEY, active_sellers
 
 # --- joins ---------------------------------------------------------------------------------
@@ -137,10 +138,10 @@ def join_semi_sessions(spark, sf):
       SELECT member_id, max(CASE WHEN tenure >= 12 THEN 1 ELSE 0 END) AS renewed FROM panel GROUP BY 1) USING (member_id)"""),
 )
 def join_broadcast_label(spark, sf):
-    """The label side is left to the planner: it is broadcast when its measured size allows."""
+    """The label side is written, counted and broadcast if it is small; beyond that the join is an ordinary one."""
     p = b.panel(spark, sf).select(*KEY, "pv", "tenure")
     label = p.groupBy("member_id").agg(F.max(fn.flag(F.col("tenure") >= 12)).alias("renewed"))
-    return p.join(label, "member_id").drop("tenure")
+    return p.join(broadcast_if_small(label, "label"), "member_id").drop("tenure")
 
 
 @query(
@@ -453,7 +454,7 @@ def scope_averages(act, prefix):
 def attach_averages(p, act):
     """Averages of the month, the region and the rank on every row."""
     for prefix, by in AVG_SCOPES.items():
-        p = p.join(scope_averages(act, prefix), by, "left")
+        p = p.join(broadcast_if_small(scope_averages(act, prefix), f"avg_{prefix}"), by, "left")
     return p
 
 
@@ -486,7 +487,7 @@ ak AS (SELECT month, rank, {_avg_sql('rank')} {_ACTIVE} GROUP BY 1, 2)"""
       LEFT JOIN ar USING (month, province) LEFT JOIN ak ON ak.month = g.month AND ak.rank = g.rank"""),
 )
 def index_vs_average(spark, sf):
-    p = b.with_group(b.panel(spark, sf))
+    p = stage(b.with_group(b.panel(spark, sf)), "grouped")
     act = p.filter((F.col("status") == "ACTIVE") & _is("I"))
     return attach_averages(p, act).select(*KEY, *index_columns())
 

@@ -11,6 +11,7 @@ from memberlytics.operators.rolling import FRAMES, Rolling
 from memberlytics.plans import bindings as b
 from memberlytics.plans.catalog import query
 from memberlytics.plans.oracle import DENSE, EVENTS, GROUPED, INCOME, PANEL, cte
+from memberlytics.session import broadcast_if_small
 
 KEY = ("member_id", "month")
 
@@ -134,7 +135,7 @@ def roll_ratio(spark, sf):
 )
 def roll_share_of_dim(spark, sf):
     p = b.panel(spark, sf).select(*KEY, "province", "bonus_gross", F.year("month").alias("year"))
-    p = p.join(b.province_income(spark, sf), ["province", "year"], "left")
+    p = p.join(broadcast_if_small(b.province_income(spark, sf), "income"), ["province", "year"], "left")
     out = ro.rolling(p, "member_id", "month", [Rolling("share", "bonus_gross", per="income")])
     return out.drop("province", "year", "bonus_gross")
 
@@ -147,7 +148,7 @@ def roll_share_of_dim(spark, sf):
 )
 def join_year_region(spark, sf):
     p = b.panel(spark, sf).select(*KEY, "province", "bonus_gross", F.year("month").alias("year"))
-    p = p.join(b.province_income(spark, sf), ["province", "year"], "left")
+    p = p.join(broadcast_if_small(b.province_income(spark, sf), "income"), ["province", "year"], "left")
     return p.select(*KEY, "province", "income", fn.safe_ratio("bonus_gross", "income").alias("share"))
 
 

@@ -11,7 +11,7 @@ import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 RECOMMENDED = {
     # Runtime re-planning: coalesces small partitions, splits skewed join partitions, and turns
@@ -72,6 +72,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(df: DataFrame, name: str, max_rows: int = 50_000) -> DataFrame:
+    """A lookup, written once; marked for broadcast if it has at most ``max_rows`` rows, else left to an ordinary join.
+
+    For narrow tables that are computed from a large one: their estimate is the large one's, so the planner would shuffle
+    the other side of the join by the lookup's few keys.
+    """
+    table = stage(df, name)
+    return F.broadcast(table) if table.limit(max_rows + 1).count() <= max_rows else table
+
+
 def stage_all(tables: dict[str, DataFrame], at_once: int = 4) -> dict[str, DataFrame]:
     """Stage independent tables, a few at a time, so that small jobs share the executors."""
     staging_root(next(iter(tables.values())).sparkSession)

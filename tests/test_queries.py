@@ -23,3 +23,20 @@ def test_query(spark, con, name):
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert len(ORACLES) >= 100
+
+
+@pytest.mark.parametrize("limit", ["10485760", "102400"])
+@pytest.mark.parametrize("name", ["index_vs_average", "roll_share_of_dim"])
+def test_small_lookups_do_not_shuffle_the_panel(spark, name, limit):
+    """The panel is never dealt by the few keys of an average or income table."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, limit)
+    try:
+        df = QUERIES[name](spark, SF)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+        assert "BroadcastHashJoin" in plan
+        assert not any(f"hashpartitioning({c}#" in plan for c in ("month", "province", "rank", "year"))
+    finally:
+        spark.conf.set(key, before)
