@@ -9,12 +9,14 @@ Full windows are dealt to step groups of equal token counts.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +27,9 @@ TIERS = (512, 1024, 2048, 4096)
 STEP_TOKENS = 16 * TIERS[-1]
 SHARD = 8192
 END_ID = 2
-KNOWN = 500_000  # words whose ids a worker keeps
+KNOWN, KNOWN_PIECES = 800_000, 400_000  # words, and pre-tokens, whose ids a worker keeps
+# Characters for which lower-casing is the same everywhere and composition changes nothing.
+LATIN = regex.compile(r"[\x20-\x7E\u00A1-\u012F\u0131-\u0148\u014A-\u017E]*")
 BATCH_BYTES = 8_000_000
 SEPARATOR = "\x01"
 _ENCODERS: dict[str, _Encoder] = {}
@@ -34,8 +38,9 @@ _ENCODERS: dict[str, _Encoder] = {}
 class _Encoder:
     """Token ids of texts, each distinct blank-separated word encoded once.
 
-    Exact for tokenizers that split at blanks and drop them (normalisation and merges never cross a blank).  New
-    words are encoded in runs, with a separator word between them that no other word contains.
+    Exact for tokenizers that split at blanks and drop them (normalisation and merges never cross a blank).  New Latin
+    words are looked up by their pre-tokens, if the tokenizer lower-cases, splits by a pattern and marks word ends; new
+    pre-tokens, and other words, are encoded in long runs.
     """
 
     def __init__(self, path: str) -> None:
@@ -46,11 +51,57 @@ class _Encoder:
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.mark = self._ids(SEPARATOR)
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.split, self.final = self._rules()
+
+    def _rules(self):
+        """The pattern of pre-tokens, and which ids end one; None if the tokenizer works in another way."""
+        rules = json.loads(self.tokenizer.to_str())
+        steps = [x["type"] for x in (rules["normalizer"] or {}).get("normalizers", [])]
+        parts = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
+        end = rules["model"].get("end_of_word_suffix")
+        if steps != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in parts] != ["Split", "ByteLevel"] or not end:
+            return None, None
+        vocabulary = self.tokenizer.get_vocab()
+        final = np.zeros(max(vocabulary.values()) + 1, bool)
+        final[[i for token, i in vocabulary.items() if token.endswith(end)]] = True
+        return regex.compile(parts[0]["pattern"]["Regex"]), final
+
+    def _learn_latin(self, words: list[bytes], line: str) -> None:
+        width = np.dtype(self.dtype).itemsize
+        split = [self.split.findall(w) for w in line.lower().split(" ")]
+        new = list(set(chain.from_iterable(split)).difference(self.pieces))
+        if len(self.pieces) + len(new) > KNOWN_PIECES:
+            self.pieces = {}
+            new = list(set(chain.from_iterable(split)))
+        for k in range(0, len(new), 2000):
+            part = new[k : k + 2000]
+            ids = np.array(self._ids(" ".join(part)), self.dtype)
+            ends = ((np.flatnonzero(self.final[ids]) + 1) * width).tolist()
+            if len(ends) != len(part):
+                raise ValueError("a pre-token has not one end")
+            data, start = ids.tobytes(), 0
+            for w, end in zip(part, ends):
+                self.pieces[w] = data[start:end]
+                start = end
+        get = self.pieces.__getitem__
+        for w, p in zip(words, split):
+            self.known[w] = get(p[0]) if len(p) == 1 else b"".join(map(get, p))
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _learn(self, words: list[bytes]) -> None:
+        if self.split is not None:
+            line = b" ".join(words).decode()
+            if not LATIN.fullmatch(line):
+                latin = [w for w in words if LATIN.fullmatch(w.decode())]
+                line = b" ".join(latin).decode()
+            else:
+                latin = words
+            if latin:
+                self._learn_latin(latin, line)
+            words = [w for w in words if w not in self.known]
         plain = [w for w in words if SEPARATOR.encode() not in w] if len(self.mark) == 1 else []
         width = np.dtype(self.dtype).itemsize
         for k in range(0, len(plain), 512):
