@@ -27,7 +27,7 @@ TIERS = (512, 1024, 2048, 4096)
 STEP_TOKENS = 16 * TIERS[-1]
 SHARD = 8192
 END_ID = 2
-KNOWN, KNOWN_PIECES = 800_000, 400_000  # words, and pre-tokens, whose ids a worker keeps
+KNOWN, KNOWN_PIECES = 1_000_000, 500_000  # words, and pre-tokens, whose ids a worker keeps
 # Characters for which lower-casing is the same everywhere and composition changes nothing.
 LATIN = regex.compile(r"[\x20-\x7E\u00A1-\u012F\u0131-\u0148\u014A-\u017E]*")
 BATCH_BYTES = 8_000_000
@@ -69,7 +69,12 @@ class _Encoder:
 
     def _learn_latin(self, words: list[bytes], line: str) -> None:
         width = np.dtype(self.dtype).itemsize
-        split = [self.split.findall(w) for w in line.lower().split(" ")]
+        # A word of letters alone, with or without one sign at its end, needs no pattern.
+        find = self.split.findall
+        split = [
+            [w] if w.isalpha() else [w[:-1], w[-1]] if w[:-1].isalpha() and w[-1] in ".,;:!?" else find(w)
+            for w in line.lower().split(" ")
+        ]
         new = list(set(chain.from_iterable(split)).difference(self.pieces))
         if len(self.pieces) + len(new) > KNOWN_PIECES:
             self.pieces = {}
