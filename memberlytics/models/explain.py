@@ -108,11 +108,13 @@ def contributions(model, encoded: DataFrame, keys: Sequence[str], class_index: i
     fields = ", ".join(f"`c_{n}` double" for n in names)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "_x")
 
+    shared = rows.sparkSession.sparkContext.broadcast(leaves)  # sent to each executor once
+
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            parts, bias = shapley(np.stack(pdf["_x"].to_numpy()), leaves, len(names))
+            parts, bias = shapley(np.stack(pdf["_x"].to_numpy()), shared.value, len(names))
             out = pd.concat(
                 [pdf.drop(columns="_x").reset_index(drop=True), pd.DataFrame(parts, columns=[f"c_{n}" for n in names])], axis=1
             )

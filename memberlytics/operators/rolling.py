@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from memberlytics.functions import safe_ratio
 
-FRAMES = (3, 6, 9, 12)
+FRAMES = (3, 6, 9, 12)  # fixed values
 AGGREGATES = {"sum": F.sum, "avg": F.avg, "max": F.max, "min": F.min, "count": F.count}
 
 

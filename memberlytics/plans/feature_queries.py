@@ -202,6 +202,28 @@ def feature_table(spark, sf):
     return ft.derived_features(wide, "member_id", "month", fam.TRACKED, [f"{s}_12m" for s in fam.TRACKED])
 
 
+INPUTS = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region", "events")
+_written: dict[tuple, object] = {}
+
+
+def written_once(spark, sf, name: str, build):
+    """A staged table that the training queries of a session share, built anew when a file of the inputs has changed."""
+    newest = F.max("_metadata.file_modification_time")
+    stamp = tuple(b.table(spark, sf, t).agg(newest, F.count(F.lit(1))).first() for t in INPUTS)
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _written or _written[key][0] != stamp:
+        _written[key] = (stamp, stage(build(), name))
+    return _written[key][1]
+
+
+def star_rows(spark, sf):
+    return written_once(spark, sf, "star", lambda: star(spark, sf, base_panel(spark, sf)))
+
+
+def features(spark, sf):
+    return written_once(spark, sf, "features", lambda: feature_table(spark, sf))
+
+
 def tenure_slices(rows, tenures):
     """Rows of the star whose tenure is among ``tenures``, each family over as many rows as the tenure says.
 

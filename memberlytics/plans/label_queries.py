@@ -80,7 +80,7 @@ for _k in (3, 6):
 
 def migration_rows(spark, sf, k: int):
     """The wide table of active sellers with the label over k months."""
-    features = stage(fq.feature_table(spark, sf), "features").filter((F.col("i_status") == "ACTIVE") & (F.col("i_member_type") == "I"))
+    features = fq.features(spark, sf).filter((F.col("i_status") == "ACTIVE") & (F.col("i_member_type") == "I"))
     return lb.migration_train(features, migration(b.dense_panel(spark, sf), k), list(KEY), k)
 
 
@@ -164,7 +164,7 @@ def _register_yearly_train(anchor: str, month: int, shift: str) -> None:
     )
     def run(spark, sf):
         label = lb.yearly_label(ranked_months(spark, sf), "member_id", "month", "band")
-        kept = stage(fq.feature_table(spark, sf), "features").filter((F.col("i_status") == "ACTIVE") & (F.col("i_member_type") == "I"))
+        kept = fq.features(spark, sf).filter((F.col("i_status") == "ACTIVE") & (F.col("i_member_type") == "I"))
         return fq.comparable(lb.yearly_train(kept, label, "member_id", "month", anchor))
 
 
@@ -178,7 +178,7 @@ TENURES = tuple(range(1, 16))
 
 
 def slices(spark, sf, tenures):
-    return fq.tenure_slices(fq.star(spark, sf, fq.base_panel(spark, sf)), tenures)
+    return fq.tenure_slices(fq.star_rows(spark, sf), tenures)
 
 
 @query("renewal_train_slice", cte(*fq.STAR_PARTS, fq.slices_sql((2,)), body="SELECT * FROM slices"))
