@@ -6,6 +6,8 @@ random strings and one of ordinary identifiers; the sum of the log-likelihood ra
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,13 +81,46 @@ def scan_rules(docs: DataFrame) -> DataFrame:
     return d.withColumn("tokens", F.when(F.size("tokens") > 0, free).otherwise(F.array().cast(SPAN)))
 
 
+def ordinary_forms() -> list[str]:
+    """Fixed tokens with digits and signs that are no secrets: numbers of books and cards, dates, times, paths, names."""
+    rnd = random.Random(11)
+    words = "data user file name index page test model batch image report chapter section config output version backup layer".split()
+
+    def number(n: int) -> str:
+        return "".join(rnd.choice("0123456789") for _ in range(n))
+
+    def name(n: int, sign: str) -> str:
+        some = [rnd.choice(words) + rnd.choice(["", "", "", number(1), number(2)]) for _ in range(n)]
+        return sign.join(w if rnd.random() < 0.8 else number(rnd.choice([1, 2, 4])) for w in some)
+
+    out = []
+    for _ in range(200):
+        day = f"20{number(2)}-{rnd.randint(1, 12):02d}-{rnd.randint(1, 28):02d}"
+        time = [f"{rnd.randint(0, 23):02d}", f"{rnd.randint(0, 59):02d}", f"{rnd.randint(0, 59):02d}"]
+        sign = rnd.choice("-_")
+        out += [
+            f"97{rnd.choice('89')}-{number(1)}-{number(2)}-{number(6)}-{number(1)}", f"{day}{rnd.choice('_-T')}{sign.join(time)}",
+            f"{day.replace('-', '')}{rnd.choice(['', 'T', '_', '-'])}{''.join(time)}{rnd.choice(['', 'Z'])}", f"{day}/{day}",
+            "-".join(number(4) for _ in range(4)), number(rnd.randint(16, 20)), "+" + sign.join(number(k) for k in (2, 3, 4, 4)),
+            name(4, "_"), name(4, "-"), "/" + name(4, "/"), name(2, "_").upper() + "_" + name(1, "_").upper(),
+            "".join(w.title() for w in name(4, " ").split()), "/".join([name(2, "/"), day.replace("-", "/"), name(2, "_")]),
+            f"{rnd.choice(['IMG', 'DSC', 'scan'])}_{day.replace('-', '')}_{''.join(time)}", rnd.choice("-=_/+") * rnd.randint(16, 40),
+        ]
+    return out
+
+
 def samples(scanned: DataFrame) -> DataFrame:
-    """(value, random): values of rule spans with a digit and a letter, against tokens of letters only."""
+    """(value, random): values of rule spans with a digit and a letter, against ordinary tokens.
+
+    Ordinary are the fixed forms and the tokens in which no letter meets a digit, whatever digits and signs they hold.  Tokens
+    that mix both are what is to be judged: they would speak for themselves.
+    """
     value = F.transform("assign", lambda s: F.regexp_extract(s["value"], ASSIGN, 2))
     others = F.transform(F.concat("access", "hex"), lambda s: s["value"])
     bad = scanned.select(F.explode(F.concat(value, others)).alias("value"), F.lit(True).alias("random"))
     good = scanned.select(F.explode(F.transform("tokens", lambda s: s["value"])).alias("value"), F.lit(False).alias("random"))
-    return bad.filter("value rlike '[0-9]' AND value rlike '[A-Za-z]'").union(good.filter("value rlike '^[A-Za-z]+$'"))
+    forms = scanned.sparkSession.createDataFrame([(v, False) for v in ordinary_forms()], "value string, random boolean")
+    return bad.filter("value rlike '[0-9]' AND value rlike '[A-Za-z]'").union(good.filter("NOT value rlike '[A-Za-z][0-9]|[0-9][A-Za-z]'")).union(forms)
 
 
 def codes(value: Column) -> Column:
