@@ -30,6 +30,7 @@ IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+PIECE = re.compile(r"[^\x20\x09-\x0D,;|]+")  # values of a list or a table row never share one
 _MODELS: dict[int, crf.Model] = {}
 
 Span = tuple[int, int]
@@ -184,8 +185,57 @@ def _find(model: _ShapeModel | None, texts: list[str]) -> list[tuple[list[list[S
     return list(zip(rules, added))
 
 
+def _trim(text: str, a: int, b: int) -> Span:
+    """Without the punctuation around it."""
+    while a < b and not (text[a].isalnum() or text[a] in "+("):
+        a += 1
+    while b > a and not text[b - 1].isalnum():
+        b -= 1
+    return a, b
+
+
+def _values(text: str, kind: int, pieces: list[Span]) -> list[Span]:
+    """Plausible spans in neighbouring pieces of a run: those that hold most, cross fewest list marks and line breaks and are fewest."""
+    if KINDS[kind] == "email":  # each has one @ sign
+        at = [k for k, (a, b) in enumerate(pieces) if "@" in text[a:b]]
+        begin = [0, *[min(k, j + 1 + text[slice(*pieces[j])].endswith("@")) for j, k in zip(at, at[1:])], len(pieces)]
+        spans = [_trim(text, pieces[i][0], pieces[j - 1][1]) for i, j in zip(begin, begin[1:]) if i < j]
+        return [(a, b) for a, b in spans if plausible(kind, text[a:b])]
+    some = [(a, b, n) for a, b in pieces if (n := sum(c in "0123456789" for c in text[a:b]))]
+    most = {"phone": 15, "card": 19, "ip": 12}[KINDS[kind]]
+    breaks = [0]
+    for (_, b, _), (a, _, _) in zip(some, some[1:]):
+        breaks.append(breaks[-1] + any(c in ",;|\n\r" for c in text[b:a]))
+    # The best of the first pieces: digits left out, breaks crossed, spans, sum of squares (for parts of equal size); last span.
+    best: list[tuple] = [(0, 0, 0, 0)]
+    last: list[tuple[int, Span] | None] = [None]
+    for j, (_, b, own) in enumerate(some):
+        score, span = (best[j][0] + own, *best[j][1:]), None
+        digits = 0
+        for i in range(j, -1, -1):
+            digits += some[i][2]
+            if digits > most:
+                break
+            a, z = _trim(text, some[i][0], b)
+            if a < z and plausible(kind, text[a:z]):
+                x = best[i]
+                new = (x[0], x[1] + breaks[j] - breaks[i], x[2] + 1, x[3] + digits * digits)
+                if new < score:
+                    score, span = new, (i, (a, z))
+        best.append(score)
+        last.append(span)
+    found, j = [], len(some)
+    while j:
+        if last[j]:
+            found.append(last[j][1])
+            j = last[j][0]
+        else:
+            j -= 1
+    return found[::-1]
+
+
 def _add(text: str, tags: list[int], rules: list[list[Span]], added: list[list[Span]]) -> None:
-    """Runs of one label become spans, without the punctuation around them, if they meet no rule span and are plausible."""
+    """The plausible values in runs of one label become spans; what meets a rule span is left out and parts the run."""
     starts, ends = [], []
     for a, b in sorted(s for spans in rules for s in spans):
         if ends and a < ends[-1]:
@@ -200,15 +250,15 @@ def _add(text: str, tags: list[int], rules: list[list[Span]], added: list[list[S
         while j < len(tags) and tags[j] == tags[k]:
             j += 1
         if tags[k]:
-            a, b = places[k][0], places[j - 1][1]
-            while a < b and not (text[a].isalnum() or text[a] in "+("):
-                a += 1
-            while b > a and not text[b - 1].isalnum():
-                b -= 1
+            a, stop = places[k][0], places[j - 1][1]
             near = bisect.bisect_right(ends, a)
-            free = near == len(starts) or starts[near] >= b
-            if a < b and free and plausible(tags[k] - 1, text[a:b]):
-                added[tags[k] - 1].append((a, b))
+            while a < stop:
+                b = min(stop, starts[near]) if near < len(starts) else stop
+                if a < b:
+                    pieces = [m.span() for m in PIECE.finditer(text, a, b)]
+                    added[tags[k] - 1] += _values(text, tags[k] - 1, pieces)
+                a = max(a, ends[near]) if b < stop else stop
+                near += 1
         k = j
 
 

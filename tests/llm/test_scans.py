@@ -164,3 +164,30 @@ def test_keep_unsecret_keeps_ordinary_numbers(spark):
     free = [(100, "see QmFzZTY0IHJhbmRv9kX2pL7vTz4W here", "en")]
     kept = secrets.keep_unsecret(documents(spark, bad + good + free))
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(len(ORDINARY)))
+
+
+def added(text, kind, word=0):
+    """What is added when the field labels all words from the given one."""
+    words = pii.WORD.findall(text)
+    out = [[] for _ in pii.KINDS]
+    tags = [pii.LABELS.index(kind) if k >= word else 0 for k in range(len(words))]
+    pii._add(text, tags, pii.rule_spans(text), out)
+    return [text[a:b] for a, b in out[pii.KINDS.index(kind)]]
+
+
+def test_personal_data_adds_lists():
+    numbers = ["(201) 555-0123", "(202) 555-0199", "203 555 0100"]
+    for sign in (", ", "; ", "\n", " ", " | ", ",\t"):
+        assert added(sign.join(numbers), "phone") == numbers
+    assert added("2015550123,2025550199", "phone") == ["2015550123", "2025550199"]
+    assert added("\n".join(f"(201) 555-{i:04d}" for i in range(3000)), "phone") == [f"(201) 555-{i:04d}" for i in range(3000)]
+    cards = ["378282246310005", "3714 496353 98431", "30569309025904"]
+    assert added(" ".join(cards), "card") == cards
+    assert added("ann @ a.org, bob @ b.org", "email") == ["ann @ a.org", "bob @ b.org"]
+
+
+def test_personal_data_adds_beside_rules():
+    assert added("+1 201 555 0123, 201 555 0199", "phone") == ["201 555 0199"]
+    assert added("201 555 0199, +1 201 555 0123, 202 555 0100", "phone") == ["201 555 0199", "202 555 0100"]
+    assert added("(201)\n555-0123", "phone") == ["(201)\n555-0123"]
+    assert added("from 201 555 0199 or", "phone") == ["201 555 0199"]
