@@ -58,13 +58,14 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
     for batch in batches:
         texts = batch.column("text").cast(pa.binary())
         codes = pa.array([fingerprint(t) for t in texts.to_pylist()], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), codes], ["doc_id", "code"])
+        kept = [n for n in batch.schema.names if n != "text"]
+        yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], codes], [*kept, "code"])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, code): the fingerprint as a signed long, one row per row of ``docs``."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(_fingerprint_batches, "doc_id long, code long")
+def fingerprints(docs: DataFrame, *keep: str) -> DataFrame:
+    """(doc_id, ``keep``, code): the fingerprint as a signed long, one row per row of ``docs``; ``keep`` are longs."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keep, F.col("text").cast("string").alias("text"))
+    return docs.mapInArrow(_fingerprint_batches, ", ".join(f"{n} long" for n in ("doc_id", *keep, "code")))
 
 
 class _Tree:
@@ -202,12 +203,19 @@ def simhash_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """Documents with one row left of each near-duplicate group: the smallest doc_id; all columns stay.
+    """Documents with one row left of each near-duplicate group; all columns stay.
 
-    Rows without doc_id stay, and of rows that repeat the smallest doc_id all stay.
+    The row with the smallest doc_id stays; of several rows with that id, or if no row of the group has an id, any one.
     """
-    groups = simhash_groups(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("__drop")).distinct()
-    return docs.join(groups, docs["doc_id"] == groups["__drop"], "left_anti")
+    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")  # written, so that the numbers are fixed
+    seen = stage(fingerprints(rows, "__row"), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")).alias("first")
+    nodes = stage(seen.groupBy("code").agg(first).select("code", F.col("code").alias("node"), "first"), "codes")
+    found = connected_components(near_links(nodes.select("node", "code")))
+    named = nodes.join(found, "node", "left").select(F.coalesce("component", "node").alias("root"), "first")
+    stays = named.groupBy("root").agg(F.min("first").alias("first")).select("first.__row")
+    drop = stage(seen.select("__row").join(stays, "__row", "left_anti").withColumnRenamed("__row", "__drop"), "repeats")
+    return rows.join(drop, rows["__row"] == drop["__drop"], "left_anti").select(*docs.columns)
 
 
 @query("op9_simhash_bk")

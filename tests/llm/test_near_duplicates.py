@@ -84,6 +84,16 @@ def test_keep_first(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(i for i, c in groups.items() if i == "None" or i == str(c))
 
 
+def test_keep_first_by_row(spark):
+    """Rows without an id and repeats of an id are judged one by one."""
+    one, two, three, four = (" ".join(f"{w}{i}" for i in range(60)) for w in ("red", "blue", "green", "grey"))
+    rows = [(None, one, "en")] * 3 + [(5, one, "en")] + [(7, two, "en")] * 3 + [(None, three, "en")] * 2
+    rows += [(9, one, "en"), (9, four, "en")]  # the second one is alone in its group
+    kept = sh.keep_first(documents(spark, rows)).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == sorted([("5", one), ("7", two), ("None", three), ("9", four)])
+    assert sh.keep_first(documents(spark, [])).count() == 0
+
+
 def test_simhash_empty(spark):
     assert sh.simhash_groups(documents(spark, [])).count() == 0
 
