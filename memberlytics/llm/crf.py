@@ -15,7 +15,8 @@ import numpy as np
 HASH_BITS = 16
 SIZES = (2, 3, 4)
 MARKS = "\x02\x03"
-LENGTH = 64  # items of a sequence at most; a longer text is several sequences
+LENGTH = 64  # items of a sequence of the fit at most; a longer text is several sequences
+STEP, EDGE = 192, 32  # a longer text is decoded in pieces, each with so many items more on both sides for their context
 KNOWN = 300_000  # items whose scores a worker keeps
 
 
@@ -104,6 +105,23 @@ def cut(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin[order], length[order]
 
 
+def overlap(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces for decoding texts with so many items: the items of all pieces, start and length of each piece in them, longest
+    first, and where the items stand whose labels count, each once and in the order of the texts.
+    """
+    pieces = -(-sizes // STEP)
+    owner = np.repeat(np.arange(len(sizes)), pieces)
+    k = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    low = np.maximum(0, k * STEP - EDGE)
+    length = np.minimum(sizes[owner], (k + 1) * STEP + EDGE) - low
+    begin = np.cumsum(length) - length
+    place = np.arange(int(length.sum())) - np.repeat(begin - low, length)  # in the text
+    items = place + np.repeat((np.cumsum(sizes) - sizes)[owner], length)
+    own = np.flatnonzero(place // STEP == np.repeat(k, length))
+    order = np.argsort(-length, kind="stable")
+    return items, begin[order], length[order], own
+
+
 def marginals(model: Model, emit: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Label probabilities of every item by forward-backward; sequences are sorted by falling length."""
     gamma, _ = _forward_backward(model.start, model.move, emit, begin, length)

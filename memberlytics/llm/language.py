@@ -76,9 +76,9 @@ def _predict(model: crf.Model, texts: list[str | None]) -> tuple[list[str], list
             rows = model.positions(words)
             sizes = np.array([len(w) for w in words], np.int64)
             flat = np.concatenate(rows)
-            begin, length = crf.cut(sizes)
+            items, begin, length, own = crf.overlap(sizes)
             none = np.zeros(0, bool)
-            gamma = crf.marginals(model, model.emissions(flat, none, none), begin, length)
+            gamma = crf.marginals(model, model.emissions(flat, none, none)[items], begin, length)[own]
             share = np.add.reduceat(gamma, np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
             best = share.argmax(axis=1)
             for i, b, s in zip(kept, best.tolist(), share.max(axis=1).tolist()):

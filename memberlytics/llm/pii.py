@@ -107,10 +107,12 @@ class _ShapeModel:
     def tags(self, words: list[list[str]]) -> np.ndarray:
         rows = self.model.positions(self.shapes(words))
         sizes = np.array([len(w) for w in words], np.int64)
-        begin, length = crf.cut(sizes)
+        ends = np.cumsum(sizes)
         first, last = np.zeros(int(sizes.sum()), bool), np.zeros(int(sizes.sum()), bool)
-        first[begin], last[begin + length - 1] = True, True
-        return crf.viterbi(self.model, self.model.emissions(np.concatenate(rows), first, last), begin, length)
+        first[ends - sizes], last[ends - 1] = True, True
+        items, begin, length, own = crf.overlap(sizes)
+        emit = self.model.emissions(np.concatenate(rows), first, last)
+        return crf.viterbi(self.model, emit[items], begin, length)[own]
 
 
 def fit(sample: DataFrame) -> crf.Model | None:

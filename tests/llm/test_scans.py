@@ -191,3 +191,14 @@ def test_personal_data_adds_beside_rules():
     assert added("201 555 0199, +1 201 555 0123, 202 555 0100", "phone") == ["201 555 0199", "202 555 0100"]
     assert added("(201)\n555-0123", "phone") == ["(201)\n555-0123"]
     assert added("from 201 555 0199 or", "phone") == ["201 555 0199"]
+
+
+def test_personal_data_across_cuts(spark):
+    """Labels don't depend on where in a long text a value stands."""
+    rows = [(i, f"call +1 ({i:03d}) 555-{i * 7 % 10000:04d} or not this word {i}", "en") for i in range(100, 300)]
+    model = pii._ShapeModel(pii.fit(documents(spark, rows)))
+    value = "call +1 (201) 555-0123 or not".split()
+    want = model.tags([["word"] * 40 + value + ["word"] * 40])[40:-40].tolist()
+    assert any(want)
+    for n in [*range(56, 68), *range(120, 132), *range(184, 196), *range(376, 388), 1000]:
+        assert model.tags([["word"] * n + value + ["word"] * 500, ["word"]])[n : n + len(value)].tolist() == want
