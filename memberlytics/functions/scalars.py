@@ -33,10 +33,10 @@ def fiscal_year(date: Column | str, first_month: int = 9) -> Column:
     return F.year(F.add_months(_col(date), shift))
 
 
-def fiscal_year_clipped(date: Column | str, first: int = 2013, last: int = 2030, outside: int = 2012) -> Column:
-    """Fiscal year inside a table of known years, one fixed value outside it."""
+def fiscal_year_clipped(date: Column | str, first: Column | int, last: Column | int, outside: Column | int) -> Column:
+    """Fiscal year inside a table of known years, one fixed value outside it; the years may come from the data."""
     fy = fiscal_year(date)
-    return F.when(fy.between(first, last), fy).otherwise(outside)
+    return F.when((fy >= first) & (fy <= last), fy).otherwise(outside)
 
 
 def month_index(date: Column | str) -> Column:
@@ -54,6 +54,11 @@ def rank_ladder(scores: Mapping[str, int]) -> Column:
     return F.coalesce(*[F.when(F.col(name) == 1, F.lit(score)) for name, score in scores.items()])
 
 
+def ladder_position(flags: Sequence[str]) -> Column:
+    """Number of the first flag that equals 1, from 1; 0 if none is set.  Null flags are not set."""
+    return F.coalesce(F.array_position(F.array(*[F.col(f).cast("int") for f in flags]), 1), F.lit(0)).cast("int")
+
+
 def bucket(value: Column | str, bounds: Sequence[tuple[int, int]], below: int, otherwise: int) -> Column:
     """Number of the closed interval holding the value: ``below`` under the first, else 1, 2, ..."""
     v = _col(value)

@@ -2,7 +2,7 @@
 
 Order of work, chosen for the width of what is shuffled: lookups by month, place, sponsor and
 head are joined while the panel is narrow; tables on (entity, period) follow; the rolling,
-lagged and delta columns come last, in one Window operator that adds columns without moving rows.
+lagged and delta columns come last, in windows that add columns without moving rows.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from memberlytics.operators.rolling import FRAMES, Rolling, by_entity, momentum, rolling_columns, yoy
+from memberlytics.operators.rolling import FRAMES, Frames, Rolling, over_entity
 
 
 @dataclass(frozen=True)
@@ -54,17 +54,13 @@ def unpack(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def current_columns(entity, period: str, currents: Sequence[Current]) -> list[Column]:
-    w = by_entity(entity, period)
-    out = []
+    w, out = over_entity(entity, period), []
     for c in currents:
-        value = F.expr(c.expr)
-        out.append(value.alias(c.name))
+        out.append(f"{c.expr} AS {c.name}")
         if c.previous:
-            prev = F.lag(value, 1).over(w)
-            if c.previous == "zero":
-                prev = F.coalesce(prev, F.lit(0))
-            out.append(prev.alias(f"{c.name}_previous"))
-    return out
+            prev = f"lag({c.expr}) {w}"
+            out.append(f"{f'coalesce({prev}, 0)' if c.previous == 'zero' else prev} AS {c.name}_previous")
+    return [F.expr(e) for e in out]
 
 
 def wide_features(
@@ -76,19 +72,28 @@ def wide_features(
     rolls: Sequence[Rolling],
     others: Sequence[Column] = (),
     ks: Sequence[int] = FRAMES,
+    tracked: Sequence[str] = (),
 ) -> DataFrame:
-    """All feature columns in one select over one window specification."""
-    return df.select(
-        *passing,
-        *current_columns(entity, period, currents),
-        *rolling_columns(entity, period, rolls, ks),
-        *others,
-    )
-
-
-def derived_features(df: DataFrame, entity: str, period: str, momentum_stems: Sequence[str], yoy_cols: Sequence[str]) -> DataFrame:
-    """Momentum and year-over-year columns of a wide table."""
-    return yoy(momentum(df, momentum_stems), entity, period, yoy_cols)
+    """All feature columns in two selects over one window specification.
+
+    ``tracked`` stems with 3, 6 and 12 row columns get their momentum and the 12-row value of 12 rows before, also for columns
+    that are not among ``rolls``.  ``entity`` and ``period`` have to be among ``passing``.
+    """
+    named = [*passing, *current_columns(entity, period, currents), *others]
+    if not rolls:
+        return df.select(*named)
+    frames = Frames(df, entity, period, rolls, ks)
+    families = [f"{frames.value(spec, k)} AS {spec.stem}_{k}m" for spec in rolls for k in ks]
+    by_stem = {spec.stem: spec for spec in rolls}
+    wide = df.select(*named, *[F.expr(e) for e in frames.first()])
+    plain = [c for c in wide.columns if not c.startswith("_roll")]
+    known = [s for s in tracked if f"{s}_12m" in set(plain)]
+    years = [f"{f'_{s}_lyr' if s in known else frames.value(by_stem[s], 12, 12)} AS {s}_12m_lyr" for s in tracked]
+    before = [f"lag({s}_12m, 12) {over_entity(entity, period)} AS _{s}_lyr" for s in known]
+    wide = wide.selectExpr("*", *frames.lags(), *before).selectExpr(*[f"`{c}`" for c in plain], *families, *years)
+    have = set(plain) | {f"{spec.stem}_{k}m" for spec in rolls for k in ks}
+    momenta = [f"{s}_3m / nullif({s}_6m - {s}_3m, 0) AS {s}_3m_mom" for s in tracked if {f"{s}_3m", f"{s}_6m"} <= have]
+    return wide.selectExpr("*", *momenta, *[f"{s}_12m / nullif({s}_12m_lyr, 0) AS {s}_12m_12m_mom" for s in tracked])
 
 
 def filled(names: Mapping[str, str], value=0) -> list[Column]:

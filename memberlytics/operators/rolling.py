@@ -1,14 +1,14 @@
 """Rolling, lagged and year-over-year columns of a panel.
 
 All functions share one window specification (entity, ordered by period), so Spark runs them
-in a single Window operator after one shuffle and one sort, whatever the number of columns.
-Frames count rows.  Densify the panel first where they should count calendar periods.
+after one shuffle and one sort, whatever the number of columns.  Frames count rows.  Densify the panel first where they should count calendar periods.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -32,25 +32,91 @@ class Rolling:
     over: str | None = None
     per: str | None = None
 
-    def column(self, window, k: int) -> Column:
-        frame = window.rowsBetween(-(k - 1), 0)
-        agg = AGGREGATES[self.agg]
-        value = agg(F.expr(self.expr)).over(frame)
-        if self.over is not None:
-            value = safe_ratio(value, agg(F.expr(self.over)).over(frame))
-        elif self.per is not None:
-            value = safe_ratio(value, F.expr(self.per))
-        return value.alias(f"{self.stem}_{k}m")
-
 
 def by_entity(entity: str | Sequence[str], period: str):
     keys = [entity] if isinstance(entity, str) else list(entity)
     return Window.partitionBy(*keys).orderBy(period)
 
 
-def rolling_columns(entity, period: str, specs: Sequence[Rolling], ks: Sequence[int] = FRAMES) -> list[Column]:
-    w = by_entity(entity, period)
-    return [spec.column(w, k) for spec in specs for k in ks]
+def over_entity(entity: str | Sequence[str], period: str, frame: str = "") -> str:
+    """The window of ``by_entity`` as SQL text."""
+    keys = [entity] if isinstance(entity, str) else list(entity)
+    return f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {period} {frame})"
+
+
+def safe_ratio_sql(a: str, b: str) -> str:
+    return f"coalesce(({a}) / nullif({b}, 0), 0D)"
+
+
+class Frames:
+    """Rolling values that are not added up again for every row and frame.
+
+    The shortest frame is a block, computed once; a longer one that is a multiple of it joins the block of its newest rows with
+    earlier blocks, read by lag.  Works for sums, counts, averages, maxima and minima, and needs no subtraction, so large
+    values that have left a frame leave no rounding behind.  ``first`` gives the columns of a first select, ``lags`` those of a
+    second one on top of it, and ``column`` expressions over both; all share one window specification, so rows are moved and
+    sorted once.  Everything is SQL text: hundreds of families make thousands of expressions, which text names in one call each.
+    """
+
+    def __init__(self, df: DataFrame, entity, period: str, specs: Sequence[Rolling], ks: Sequence[int] = FRAMES) -> None:
+        self.entity, self.period, self.block = entity, period, min(ks)
+        self.direct = [k for k in ks if k % self.block]
+        exprs = list(dict.fromkeys(e for spec in specs for e in (spec.expr, spec.over) if e))
+        fields = df.selectExpr(*[f"{e} AS c{i}" for i, e in enumerate(exprs)]).schema.fields
+        self.some = {e for e, f in zip(exprs, fields) if f.nullable}
+        self.names: dict[tuple[str, str], str] = {}
+        for spec in specs:
+            for expr in filter(None, (spec.expr, spec.over)):
+                for part in self._needs(spec.agg, expr):
+                    self.names.setdefault(part, f"_roll{len(self.names)}")
+            if spec.per:
+                self.names.setdefault(("", spec.per), f"_roll{len(self.names)}")
+        self.read: dict[str, tuple[str, int]] = {}
+
+    def _needs(self, agg: str, expr: str) -> list[tuple[str, str]]:
+        """What a family is made of; all that are never null share one count of rows."""
+        count = ("count", expr if expr in self.some else "1")
+        return [("sum", expr), count] if agg == "avg" else [count] if agg == "count" else [(agg, expr)]
+
+    def first(self) -> list[str]:
+        over = {k: over_entity(self.entity, self.period, f"ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW") for k in (self.block, *self.direct)}
+        out = [f"{expr} AS {name}" for (agg, expr), name in self.names.items() if not agg]
+        return out + [f"{agg}({expr}) {w} AS {name}_{k}" for (agg, expr), name in self.names.items() if agg for k, w in over.items()]
+
+    def _before(self, name: str, earlier: int) -> str:
+        if not earlier:
+            return name
+        self.read[f"{name}_before{earlier}"] = (name, earlier)
+        return f"{name}_before{earlier}"
+
+    def _part(self, agg: str, expr: str, k: int, earlier: int) -> str:
+        """The value of the frame of k rows that ends ``earlier`` rows before this one; null before the first row."""
+        if agg == "avg":
+            return f"({self._part('sum', expr, k, earlier)}) / nullif({self._part('count', expr, k, earlier)}, 0)"
+        name = self.names[self._needs(agg, expr)[0]]
+        if k in self.direct:
+            return self._before(f"{name}_{k}", earlier)
+        newest, *older = [self._before(f"{name}_{self.block}", earlier + i) for i in range(0, k, self.block)]
+        if not older:
+            return newest
+        if agg in ("max", "min"):
+            return f"{'greatest' if agg == 'max' else 'least'}({', '.join([newest, *older])})"
+        if agg == "sum" and expr in self.some:
+            return reduce(lambda a, b: f"coalesce({a} + {b}, {a}, {b})", older, newest)
+        # A block is null only where it has no rows, and then so are those before it.
+        return " + ".join([newest, *[f"coalesce({b}, 0)" for b in older]])
+
+    def value(self, spec: Rolling, k: int, earlier: int = 0) -> str:
+        """The family's value over k rows, as it was ``earlier`` rows before (only without ``per``)."""
+        value = self._part(spec.agg, spec.expr, k, earlier)
+        if spec.over is not None:
+            return safe_ratio_sql(value, self._part(spec.agg, spec.over, k, earlier))
+        return safe_ratio_sql(value, self.names["", spec.per]) if spec.per is not None else value
+
+    def lags(self) -> list[str]:
+        """The earlier blocks that the values made so far read."""
+        w = over_entity(self.entity, self.period)
+        return [f"lag({name}, {k}) {w} AS {alias}" for alias, (name, k) in self.read.items()]
 
 
 def rolling_over_tenure(df: DataFrame, entity, period: str, tenure: str, specs: Sequence[Rolling]) -> tuple[DataFrame, list[Column]]:
@@ -97,18 +163,13 @@ def rolling(
 
     With ``min_history`` a value is NULL until the entity has k rows.
     """
-    if not min_history:
-        return df.select("*", *rolling_columns(entity, period, specs, ks))
-    w = by_entity(entity, period)
-    seen = F.row_number().over(w)
-    return df.select(
-        "*",
-        *[
-            F.when(seen >= k, spec.column(w, k)).alias(f"{spec.stem}_{k}m")
-            for spec in specs
-            for k in ks
-        ],
-    )
+    frames = Frames(df, entity, period, specs, ks)
+    out = {f"{spec.stem}_{k}m": (k, frames.value(spec, k)) for spec in specs for k in ks}
+    if min_history:
+        out = {name: (k, f"CASE WHEN _seen >= {k} THEN {v} END") for name, (k, v) in out.items()}
+    seen = [f"row_number() {over_entity(entity, period)} AS _seen"] if min_history else []
+    blocks = df.selectExpr("*", *frames.first(), *seen).selectExpr("*", *frames.lags())
+    return blocks.select(*df.columns, *[F.expr(v).alias(name) for name, (_, v) in out.items()])
 
 
 def lagged_columns(entity, period: str, exprs: Mapping[str, str | Column], k: int = 1) -> list[Column]:

@@ -6,8 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from memberlytics.functions import flag, safe_ratio
+from memberlytics.functions import flag, ladder_position, safe_ratio
+from memberlytics.operators.intervals import interval_lookup
 from memberlytics.operators.rolling import FRAMES
+from memberlytics.session import stage
 
 
 def head_rollup(
@@ -167,14 +169,39 @@ def monthly_yearly_rank(
     return out
 
 
-def range_lookup(df: DataFrame, col: str, bands: DataFrame, out: str) -> DataFrame:
+def awards_from_flags(
+    df: DataFrame, entity: str, period: str, fiscal: Column, levels: DataFrame, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``entity``, ``period``, ``fy``, ``keep`` and the monthly and yearly award: score and name of each.
+
+    ``levels`` (pos, flag, score, name) is the ladder, highest first, with a row for each flag column of ``df``.  The first flag set
+    gives the month's place on the ladder, a lookup in one array; the best place of the entity's fiscal year is a minimum
+    over its rows.  No flag gives no award.  Everything is one pass and one shuffle by entity.
+    """
+    ladder = [r for r in levels.orderBy("pos").collect() if r["flag"] in df.columns]  # at most a row a column
+    place = F.nullif(ladder_position([r["flag"] for r in ladder]), F.lit(0))
+    rows = df.select(entity, period, fiscal.alias("fy"), *keep, place.alias("_m"))
+    rows = rows.withColumn("_y", F.min("_m").over(Window.partitionBy(entity, "fy")))
+
+    def at(c: str, place: str) -> Column:
+        return F.get(F.array(*[F.lit(r[c]) for r in ladder]), F.col(place) - 1)
+
+    named = [at(c, p).alias(f"{n}_{c}") for n, p in (("monthly", "_m"), ("yearly", "_y")) for c in ("score", "name")]
+    return rows.select(entity, period, "fy", *keep, *named)
+
+
+def range_lookup(df: DataFrame, col: str, bands: DataFrame, out: str, by_list: int = 1000) -> DataFrame:
     """Rank of the band [lo, hi] holding ``col``; the later band wins, no band keeps the value.
 
-    ``bands`` (lo, hi, rank, in order of ``pos``) becomes one row holding the whole list, which
-    is compared in place.  The list is a business table of ranks, not data that grows.
+    Up to ``by_list`` ``bands`` (lo, hi, rank, in order of ``pos``) become one list that is compared in place; more of them
+    are joined by ``intervals.interval_lookup``, for whole numbers.
     """
-    ordered = F.sort_array(F.collect_list(F.struct("pos", "lo", "hi", "rank")), False)
     v = F.col(col)
+    bands = stage(bands, "bands")
+    if bands.limit(by_list + 1).count() > by_list:
+        found = interval_lookup(df, col, bands, ["rank"])
+        return found.withColumn(out, F.coalesce("rank", v)).drop("rank")
+    ordered = F.sort_array(F.collect_list(F.struct("pos", "lo", "hi", "rank")), False)
     # The list is one value of the whole query, read before the panel is scanned.
     rows = df.withColumn("_bands", bands.agg(ordered).scalar())
     inside = F.filter("_bands", lambda b: v.between(b["lo"], b["hi"]))

@@ -198,8 +198,7 @@ def feature_table(spark, sf):
     """One row per (member, month) with every feature, momentum and year-over-year column."""
     rows = star(spark, sf, base_panel(spark, sf))
     passing, others = feature_columns()
-    wide = ft.wide_features(rows, "member_id", "month", passing, fam.CURRENT, fam.FAMILIES, others)
-    return ft.derived_features(wide, "member_id", "month", fam.TRACKED, [f"{s}_12m" for s in fam.TRACKED])
+    return ft.wide_features(rows, "member_id", "month", passing, fam.CURRENT, fam.FAMILIES, others, tracked=fam.TRACKED)
 
 
 INPUTS = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region", "events")

@@ -208,6 +208,37 @@ def award_monthly_yearly(spark, sf):
     return rollup.monthly_yearly_rank(p, "member_id", "fy", "rank", rank_names(spark)).withColumnRenamed("rank", "monthly_rank")
 
 
+# A ladder of 19 levels, highest first: flag, score and name follow from the place.
+AWARD_LEVELS = [(i, f"level_{i}_flag", 400 - 5 * i, f"Award {i}") for i in range(1, 20)]
+
+
+def _level_sql(i: int) -> str:
+    more = {10: " OR status <> 'ACTIVE'", 19: " OR orders > 1"}.get(i, "")
+    return f"(member_id + {i} * (year(month) * 12 + month(month))) % 19 = 0{more}"
+
+
+def _award_case(value) -> str:
+    return "CASE " + " ".join(f"WHEN {_level_sql(i)} THEN {value(i)}" for i, *_ in AWARD_LEVELS) + " END"
+
+
+_AWARD_NAMES = "CASE {0} " + " ".join(f"WHEN {score} THEN '{name}'" for _, _, score, name in AWARD_LEVELS) + " END"
+
+
+@query(
+    "award_from_flags",
+    cte(PANEL, body=f"""SELECT *, {_AWARD_NAMES.format("monthly_score")} AS monthly_name, {_AWARD_NAMES.format("yearly_score")} AS yearly_name
+      FROM (SELECT *, max(monthly_score) OVER (PARTITION BY member_id, fy) AS yearly_score FROM (
+        SELECT member_id, month, CAST(year(month + INTERVAL 4 MONTH) AS INTEGER) AS fy, {_award_case(lambda i: 400 - 5 * i)} AS monthly_score
+        FROM panel))"""),
+)
+def award_from_flags(spark, sf):
+    """Flags of 19 levels to monthly and yearly awards; every level occurs."""
+    p = b.panel(spark, sf).select(*KEY, "status", "orders")
+    p = p.select(*KEY, *[fn.flag(F.expr(_level_sql(i))).alias(f) for i, f, *_ in AWARD_LEVELS])
+    levels = spark.createDataFrame(AWARD_LEVELS, "pos int, flag string, score int, name string")
+    return rollup.awards_from_flags(p, "member_id", "month", fn.fiscal_year("month"), levels)
+
+
 # --- rollups by head and sponsor -------------------------------------------------------------
 
 

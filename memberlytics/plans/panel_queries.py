@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from memberlytics import functions as fn
 from memberlytics.operators import panel as pn, rollup, shape
+from memberlytics.operators.intervals import interval_lookup
 from memberlytics.plans import bindings as b
 from memberlytics.plans.catalog import query
 from memberlytics.plans.oracle import DENSE, EVENTS, GROUPED, MEMBERS, MONTHLY, PANEL, cte
@@ -110,6 +111,21 @@ def rank_band_lookup(spark, sf):
     return rollup.range_lookup(p, "rank", bands, "band")
 
 
+@query(
+    "band_join_lookup",
+    """SELECT o_orderkey, max_by(p_partkey, pos) AS part FROM (SELECT o_orderkey, (o_totalprice / 10)::BIGINT AS v FROM orders)
+       LEFT JOIN (SELECT p_partkey, p_partkey AS pos, (p_partkey * 7919) % 50000 AS lo FROM part) ON v BETWEEN lo AND lo + p_partkey % 97
+       GROUP BY o_orderkey, v""",
+)
+def band_join_lookup(spark, sf):
+    """A band per part, many of them overlapping: the last one that holds the order's amount."""
+    k = F.col("p_partkey")
+    bands = b.table(spark, sf, "part").select(k.alias("part"), k.alias("pos"), (k * 7919 % 50000).alias("lo"))
+    bands = bands.withColumn("hi", F.col("lo") + F.col("pos") % 97)
+    o = b.table(spark, sf, "orders").select("o_orderkey", F.bround(F.col("o_totalprice") / 10).cast("long").alias("v"))
+    return interval_lookup(o, "v", bands, ["part"]).select("o_orderkey", "part")
+
+
 @query(
     "rank_coalesce",
     cte(PANEL, body="""SELECT member_id, month, CASE WHEN age % 3 = 0 AND rank IS NOT NULL THEN rank + 5
@@ -326,17 +342,24 @@ def date_features(spark, sf):
     )
 
 
+_FY = "year(month + INTERVAL 4 MONTH)"
+
+
 @query(
     "performance_year",
-    cte(PANEL, body="""SELECT DISTINCT month,
-      CAST(CASE WHEN year(month + INTERVAL 4 MONTH) BETWEEN 2013 AND 2030 THEN year(month + INTERVAL 4 MONTH) ELSE 2012 END
-        AS INTEGER) AS table_year,
+    cte(PANEL, body=f"""SELECT DISTINCT month,
+      CAST(CASE WHEN {_FY} BETWEEN (SELECT min({_FY}) + 1 FROM panel) AND (SELECT max({_FY}) - 1 FROM panel) THEN {_FY}
+        ELSE (SELECT min({_FY}) FROM panel) END AS INTEGER) AS table_year,
       CAST(CASE WHEN month(month) >= 9 THEN year(month) + 1 ELSE year(month) END AS INTEGER) AS fiscal_year FROM panel"""),
 )
 def performance_year(spark, sf):
+    """The table of known years leaves out the first and the last one of the data, so both branches occur."""
     months = b.monthly(spark, sf).select("month").distinct()
+    fy = fn.fiscal_year("month")
+    span = months.agg(F.struct(F.min(fy).alias("lo"), F.max(fy).alias("hi"))).scalar()
     return months.select(
-        "month", fn.fiscal_year_clipped("month").alias("table_year"), fn.fiscal_year("month").alias("fiscal_year")
+        "month", fn.fiscal_year_clipped("month", span["lo"] + 1, span["hi"] - 1, span["lo"]).alias("table_year"),
+        fy.alias("fiscal_year"),
     )
 
 
@@ -506,6 +529,25 @@ def prep_winsorize(spark, sf):
     return winsorize(p, ["pv", "rev", "last3_pv"], 0.95)
 
 
+_CAPPED = ["pv", "rev", "last3_pv"]
+
+
+@query(
+    "approx_quantile_caps",
+    cte(PANEL, body=" UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS n, true AS in_band FROM panel" for c in _CAPPED)),
+)
+def approx_quantile_caps(spark, sf):
+    """Caps from sketches of size 200: the share of values up to a cap is within the sketch's rank error of 95 %."""
+    from memberlytics.operators.ranking import approx_quantiles
+
+    p = b.monthly(spark, sf).select(*_CAPPED)
+    caps = approx_quantiles(p, _CAPPED, 0.95).agg(F.map_from_entries(F.collect_list(F.struct("m", "q")))).scalar()
+    per = [F.struct(F.lit(c).alias("name"), F.count(c).alias("n"), F.avg(fn.flag(F.col(c) < F.col("_caps")[c])).alias("below"),
+                    F.avg(fn.flag(F.col(c) <= F.col("_caps")[c])).alias("upto")) for c in _CAPPED]
+    rows = p.withColumn("_caps", caps).agg(F.array(*per).alias("a")).select(F.explode("a").alias("a")).select("a.*")
+    return rows.select("name", "n", ((F.col("below") < 0.95 + 0.0165) & (F.col("upto") > 0.95 - 0.0165)).alias("in_band"))
+
+
 @query(
     "prep_low_variance",
     """SELECT name, round(v, 4) AS variance, CASE WHEN v <= 0.1 THEN 1 ELSE 0 END AS dropped FROM (

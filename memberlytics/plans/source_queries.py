@@ -75,15 +75,22 @@ def src_glob_gzip(spark, sf):
 @query("src_incremental_backfill", """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
   o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders""")
 def src_incremental_backfill(spark, sf):
+    """Half of the years first, one of them with a part of its rows; then that year's files are replaced and all years are loaded."""
     path = staging_path(spark, "backfill")
     o = b.table(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", F.year("o_orderdate").alias("year")
     )
-    o.write.partitionBy("year").options(sep="|", header=True).csv(f"{path}/raw")
     span = o.agg(F.min("year").alias("lo"), F.max("year").alias("hi")).first()
     years = list(range(span["lo"], span["hi"] + 1))
+
+    def deliver(rows):
+        to = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year")
+        to.options(sep="|", header=True).csv(f"{path}/raw")
+
+    deliver(o.filter((F.col("year") > years[0]) | (F.col("o_orderkey") % 2 == 0)))
     raw = path + "/raw/year={year}"
     rd.backfill(spark, raw, f"{path}/table", years[: len(years) // 2])
+    deliver(o.filter(F.col("year") == years[0]))
     return rd.backfill(spark, raw, f"{path}/table", years)
 
 
@@ -115,3 +122,15 @@ def snk_single_csv(spark, sf):
     per = m.groupBy("member_id", F.year("month").alias("y")).agg(F.count(F.lit(1)).alias("n"))
     wr.write_report(per.groupBy("y").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("members")), path)
     return rd.read_text_table(spark, path)
+
+
+@query("snk_observed_write", cte(PANEL, body="""SELECT count(*) AS row_count, min(month) AS min_month, max(month) AS max_month,
+  count(*) - count(month) AS nulls_month, min(pv) AS min_pv, max(pv) AS max_pv, count(*) - count(pv) AS nulls_pv, min(rank) AS min_rank,
+  max(rank) AS max_rank, count(*) - count(rank) AS nulls_rank FROM panel"""))
+def snk_observed_write(spark, sf):
+    """What the writing job saw of its rows: no second pass over the table."""
+    cols = ["month", "pv", "rank"]
+    p = b.panel(spark, sf).select("member_id", *cols)
+    seen = wr.write_table(p, staging_path(spark, "observed"), profile=cols)
+    kinds = {f"{n}_{c}": p.schema[c].dataType.simpleString() for c in cols for n in ("min", "max")}
+    return spark.createDataFrame([tuple(seen.values())], ", ".join(f"{k} {kinds.get(k, 'long')}" for k in seen))

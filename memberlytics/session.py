@@ -10,8 +10,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 RECOMMENDED = {
     # Runtime re-planning: coalesces small partitions, splits skewed join partitions, and turns
@@ -72,14 +74,33 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, name: str, max_rows: int = 50_000) -> DataFrame:
-    """A lookup, written once; marked for broadcast if it has at most ``max_rows`` rows, else left to an ordinary join.
+def stage_seen(df: DataFrame, name: str, **aggregates: Column) -> tuple[DataFrame, dict]:
+    """Like ``stage``; also gives aggregates of the rows, observed by the writing tasks, so the table is not read for them."""
+    seen = Observation()
+    table = stage(df.observe(seen, *[c.alias(n) for n, c in aggregates.items()]), name)
+    return table, seen.get
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About the size of a row in memory."""
+    fixed, parts = 0, []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            parts.append(F.octet_length(f.name))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            parts.append(F.octet_length(F.to_json(F.struct(f.name))))
+        fixed += 8
+    return reduce(lambda a, c: a + F.coalesce(c, F.lit(0)), parts, F.lit(fixed)).cast("long")
+
+
+def broadcast_if_small(df: DataFrame, name: str, max_rows: int = 50_000, max_bytes: int = 16 << 20) -> DataFrame:
+    """A lookup, written once; marked for broadcast if it is within ``max_rows`` and ``max_bytes``, else left to an ordinary join.
 
     For narrow tables that are computed from a large one: their estimate is the large one's, so the planner would shuffle
-    the other side of the join by the lookup's few keys.
+    the other side of the join by the lookup's few keys.  Rows and bytes are observed by the writing tasks.
     """
-    table = stage(df, name)
-    return F.broadcast(table) if table.limit(max_rows + 1).count() <= max_rows else table
+    table, seen = stage_seen(df, name, rows=F.count(F.lit(1)), bytes=F.sum(row_bytes(df)))
+    return F.broadcast(table) if seen["rows"] <= max_rows and (seen["bytes"] or 0) <= max_bytes else table
 
 
 def stage_all(tables: dict[str, DataFrame], at_once: int = 4) -> dict[str, DataFrame]:

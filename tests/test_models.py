@@ -111,6 +111,42 @@ def test_backfill_converts_missing_years_only(spark):
     assert [p[-4:] for p in read] == ["2019", "2020"]
 
 
+def test_backfill_replaces_changed_years_only(spark, tmp_path):
+    raw, target = str(tmp_path / "raw"), str(tmp_path / "table")
+
+    def deliver(year, rows):
+        spark.createDataFrame(rows, "k string").write.mode("overwrite").option("header", True).csv(f"{raw}/{year}")
+
+    def folders():
+        return {p.name: sorted(f.name for f in p.glob("part-*")) for p in (tmp_path / "table").glob("year=*")}
+
+    for year in (2018, 2019, 2020):
+        deliver(year, [(f"{year}",)])
+    years = [2017, 2018, 2019, 2020]
+    assert rd.backfill(spark, raw + "/{year}", target, years, at_once=2).count() == 3
+    before = folders()
+    assert rd.backfill(spark, raw + "/{year}", target, years).count() == 3 and folders() == before
+    deliver(2019, [("new",), ("newer",)])
+    got = rd.backfill(spark, raw + "/{year}", target, years)
+    assert sorted((r["year"], r["k"]) for r in got.collect()) == [(2018, "2018"), (2019, "new"), (2019, "newer"), (2020, "2020")]
+    after = folders()
+    assert {y for y in before if before[y] != after[y]} == {"year=2019"}
+    deliver(2018, [])
+    assert sorted(r["year"] for r in rd.backfill(spark, raw + "/{year}", target, years).collect()) == [2019, 2019, 2020]
+    assert rd.backfill(spark, raw + "/{year}", target, [2020]).count() == 1
+    with pytest.raises(ValueError):
+        rd.backfill(spark, raw + "/{year}", target, [2017])
+
+
+def test_write_table_observes_its_rows(spark):
+    df = spark.range(1000).select("id", F.when(F.col("id") % 4 > 0, F.col("id")).alias("x"))
+    path = staging_path(spark, "observed")
+    got = wr.write_table(df, path, max_records=100, profile=["id", "x"])
+    assert got == {"row_count": 1000, "min_id": 0, "max_id": 999, "nulls_id": 0, "min_x": 1, "max_x": 999, "nulls_x": 250}
+    assert spark.read.parquet(path).count() == 1000
+    assert wr.write_table(df.limit(0), path, profile=["id"]) == {"row_count": 0, "min_id": None, "max_id": None, "nulls_id": 0}
+
+
 def test_staging_needs_a_shared_folder_on_a_cluster():
     class Conf:
         def __init__(self, value):

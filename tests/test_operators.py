@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from memberlytics import functions as fn
-from memberlytics.operators import engage, features, labels as lb, panel as pn, ranking, rolling as ro, rollup, shape
+from memberlytics.operators import engage, features, intervals, labels as lb, panel as pn, ranking, rolling as ro, rollup, shape
 from memberlytics.operators.rolling import Rolling
 
 
@@ -54,15 +54,76 @@ def test_percent_ranks_equal_brute_force(spark, hot):
                 assert got[r[0]][f"{scope}_x"] == pytest.approx(want, abs=1e-12)
 
 
-def test_value_bucket_keeps_the_order(spark):
+def narrow_range(spark, n=20_000):
+    """Two groups; the values of the first lie within 0.1 % of each other."""
+    rnd = random.Random(2)
+    data = [(i, "near", 1000 + rnd.random()) for i in range(n)] + [(n + i, "few", float(i % 7)) for i in range(50)]
+    return spark.createDataFrame([*data, (n + 50, "near", None), (n + 51, "near", float("nan"))], "id long, g string, x double"), data
+
+
+def test_cut_bucket_keeps_the_order(spark):
     rnd = random.Random(1)
-    xs = [0.0, -0.0, 1e-300, -1e300, 1e300]
-    for p in range(-60, 60):
-        xs += [2.0**p, math.nextafter(2.0**p, 0), math.nextafter(2.0**p, 1e308), -(2.0**p), rnd.uniform(-1, 1) * 10.0 ** (p / 6)]
-    df = spark.createDataFrame([(x,) for x in xs], "x double")
-    got = [(r["x"], r["b"]) for r in df.select("x", ranking.value_bucket(F.col("x")).alias("b")).collect()]
-    got.sort()
-    assert all(a[1] <= b[1] for a, b in zip(got, got[1:]))
+    for size in (0, 1, 15, 16, 17, 255):
+        cuts = sorted(rnd.sample(range(-1000, 1000), size))
+        xs = [float(rnd.randrange(-1100, 1100)) for _ in range(200)] + [float(c) for c in cuts[:40]]
+        df = spark.createDataFrame([([float(c) for c in cuts], x) for x in xs] + [([float(c) for c in cuts], None)], "c array<double>, x double")
+        for r in df.select("x", ranking.cut_bucket(F.col("c"), F.col("x")).alias("b")).collect():
+            assert r["b"] == (-1 if r["x"] is None else sum(c < r["x"] for c in cuts))
+
+
+def test_no_window_task_sorts_a_narrow_group(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "BUCKET", 500)
+    df, _ = narrow_range(spark)
+    cells = df.select("g", F.col("x").alias("_x"), F.lit(1).alias("_n"))
+    _, large = ranking._totals(cells, ["g"])
+    assert [r["g"] for r in large.collect()] == ["near"]
+    out, _ = ranking.bucketed(cells, ["g"], large)
+    sizes = {(r["g"], r["_b"]): r["count"] for r in out.groupBy("g", "_b").count().collect()}
+    near = [n for (g, _), n in sizes.items() if g == "near"]
+    assert len(near) >= 35 and max(near) < 1000 and sizes["few", 0] == 50
+
+
+def test_ranks_and_quantiles_of_cut_groups_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "BUCKET", 500)
+    df, data = narrow_range(spark, 5000)
+    got = {r["id"]: r["g_x"] for r in ranking.percent_ranks(df, ["id"], {"x": "x"}, {"g": ["g"]}).collect()}
+    for g in ("near", "few"):
+        values = [(i, x) for i, gg, x in data if gg == g] + ([(5050, None), (5051, math.inf)] if g == "near" else [])
+        for (i, _), want in zip(values, brute_percent_rank([x for _, x in values])):
+            assert got[i] == pytest.approx(want, abs=1e-12)
+    xs = sorted(x for _, _, x in data)
+    few = df.filter("x IS NOT NULL AND NOT isnan(x)")
+    for q in (0.001, 0.5, 0.95, 1.0):
+        assert ranking.exact_quantiles(few, ["x"], q).first()["q"] == xs[math.ceil(q * len(xs)) - 1]
+        near = ranking.approx_quantiles(few, ["x"], q).first()["q"]
+        assert abs(sum(x <= near for x in xs) / len(xs) - q) < 0.0165
+    assert ranking.exact_quantiles(few.limit(0), ["x"], 0.5).count() == 0
+
+
+@pytest.mark.parametrize("bucket", [50, 50_000])
+def test_rank_sum_auc(spark, monkeypatch, bucket):
+    monkeypatch.setattr(ranking, "BUCKET", bucket)
+    rnd = random.Random(6)
+    data = [(rnd.choice([0, 1, 1, 2, None]), rnd.choice([rnd.random(), 0.5, 0.0, -0.0, None])) for _ in range(800)]
+    df = spark.createDataFrame(data, "y int, s double")
+    scores = {0: -F.col("s"), 1: F.col("s"), 2: F.col("s") * F.col("s"), 3: F.col("s")}
+    got = {r["class"]: r for r in ranking.rank_sum_auc(df, "y", scores).collect()}
+    for k, f in ((0, lambda s: -s), (1, lambda s: s), (2, lambda s: s * s), (3, lambda s: s)):
+        pos = [f(s) for y, s in data if y == k and s is not None]
+        neg = [f(s) for y, s in data if y not in (k, None) and s is not None]
+        assert (got[k]["positives"], got[k]["negatives"]) == (len(pos), len(neg))
+        if pos:
+            want = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / len(pos) / len(neg)
+            assert got[k]["auc"] == pytest.approx(want, abs=1e-12)
+    assert got[3]["auc"] is None
+
+
+def test_rank_sum_auc_equals_the_evaluator(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    df = spark.range(2000).select(F.hash("id").alias("h")).select((F.pmod("h", F.lit(97)) / 97.0).alias("s"), (F.pmod(F.hash("h"), F.lit(3)) == 0).cast("double").alias("y"))
+    auc = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="s").setNumBins(0).evaluate(df)
+    assert ranking.rank_sum_auc(df, "y", {1.0: F.col("s")}).first()["auc"] == pytest.approx(auc, abs=1e-12)
 
 
 def test_exact_quantiles(spark):
@@ -97,6 +158,38 @@ def test_rolling_counts_rows_and_sums_lags(small):
     assert out.filter("e = 1").first()["r_6m"] == 0.5
 
 
+@pytest.mark.parametrize("ks", [(3, 6, 9, 12), (1, 2, 3, 4, 5), (2, 3, 5), (4,)])
+def test_frames_equal_plain_windows(spark, ks):
+    rnd = random.Random(9)
+    data = [(e, m, rnd.choice([None, 0.0, float(rnd.randrange(100)), -3.0]), rnd.randrange(9)) for e in range(20) for m in months(d(2019, 1), rnd.randrange(1, 30))]
+    df = spark.createDataFrame(data, "e long, p date, x double, n int")
+    specs = [Rolling(f"{a}_{c}", c, a) for a in ro.AGGREGATES for c in ("x", "n")]
+    specs += [Rolling("over", "x", over="n"), Rolling("over_avg", "n", "avg", over="x"), Rolling("per", "x", per="n")]
+    got = ro.rolling(df, "e", "p", specs, ks)
+    assert got.columns == df.columns + [f"{s.stem}_{k}m" for s in specs for k in ks]
+    w = ro.by_entity("e", "p")
+    for s in specs:
+        for k in ks:
+            frame = w.rowsBetween(1 - k, 0)
+            plain = ro.AGGREGATES[s.agg](F.expr(s.expr)).over(frame)
+            if s.over:
+                plain = fn.safe_ratio(plain, ro.AGGREGATES[s.agg](F.expr(s.over)).over(frame))
+            elif s.per:
+                plain = fn.safe_ratio(plain, F.expr(s.per))
+            got = got.withColumn(f"want_{s.stem}_{k}m", plain)
+    for r in got.collect():
+        for s in specs:
+            for k in ks:
+                a, b = r[f"{s.stem}_{k}m"], r[f"want_{s.stem}_{k}m"]
+                assert (a is None) == (b is None) and (a is None or a == pytest.approx(b, rel=1e-12)), (s.stem, k)
+
+
+def test_large_values_leave_no_rounding_behind(spark):
+    df = spark.createDataFrame([(1, m, x) for m, x in zip(months(d(2020, 1), 9), [1e17, 0.1, 0.2, 0.3, 0.1, 0.2, 0.3, 0.1, 0.2])], "e long, p date, x double")
+    out = rows(ro.rolling(df, "e", "p", [Rolling("s", "x")], (3, 6)).select("p", "s_6m"), "p")
+    assert out[-1][1] == pytest.approx(1.2, abs=1e-12)
+
+
 def test_min_history(small):
     out = ro.rolling(small, "e", "p", [Rolling("s", "x")], (3,), min_history=True)
     assert [r["s_3m"] for r in out.filter("e = 1").orderBy("p").limit(4).collect()] == [None, None, 6.0, 9.0]
@@ -201,6 +294,52 @@ def test_range_lookup_later_band_wins_and_unmatched_stays(spark):
     assert got == {3: 1, 7: 2, 30: 30, None: None}
 
 
+@pytest.mark.parametrize("by_list", [1000, 0])
+def test_range_lookup_both_ways(spark, by_list):
+    rnd = random.Random(12)
+    bands = [(i, lo := rnd.randrange(-500, 500), lo + rnd.choice([0, 1, 5, 300, -2]), i * 10) for i in range(60)] + [(61, None, 5, 1), (62, 5, None, 1)]
+    values = [rnd.randrange(-600, 900) for _ in range(500)] + [7] * 400 + [None]
+    df = spark.createDataFrame([(v, "x") for v in values], "v int, rank_ string")
+    got = rollup.range_lookup(df, "v", spark.createDataFrame(bands, "pos int, lo int, hi int, rank int"), "band", by_list)
+    want = sorted(((v, next((r for p, lo, hi, r in reversed(bands) if v is not None and None not in (lo, hi) and lo <= v <= hi), v)) for v in values), key=str)
+    assert sorted(((r["v"], r["band"]) for r in got.collect()), key=str) == want
+
+
+def test_lookup_in_a_million_bands(spark):
+    """Bands of 1 to 3,000 numbers, each number in many of them; the result is checked against the rule that made them."""
+    n = 1_000_000
+    bands = spark.range(n).select(F.col("id").alias("pos"), (F.col("id") * 10).alias("lo"), (F.col("id") * 10 + F.col("id") % 3000).alias("hi"), (-F.col("id")).alias("r"))
+    df = spark.range(0, 10 * n, 997).withColumnRenamed("id", "v")
+    got = {r["v"]: r["r"] for r in intervals.interval_lookup(df, "v", bands, ["r"]).collect()}
+    assert len(got) == len(range(0, 10 * n, 997))
+    for v in range(0, 10 * n, 997):
+        i = v // 10  # the last band that starts at or before v
+        while i >= 0 and 10 * i + i % 3000 < v:
+            i -= 1
+        assert got[v] == (-i if i >= 0 else None)
+
+
+def test_interval_lookup_by_keys_and_odd_tables(spark):
+    bands = spark.createDataFrame([("a", 1, 0, 10, "x"), ("a", 2, 5, 6, "y"), ("b", 3, -(2**40), 2**40, "z"), (None, 4, 0, 9, "n")], "g string, pos int, lo long, hi long, o string")
+    df = spark.createDataFrame([("a", 5), ("a", 5), ("a", 7), ("a", 11), ("b", 5), ("b", -(2**40)), ("c", 5), (None, 5), ("a", None)], "g string, v long")
+    got = intervals.interval_lookup(df, "v", bands, ["o"], by=["g"])
+    want = [("a", 5, "y"), ("a", 5, "y"), ("a", 7, "x"), ("a", 11, None), ("b", 5, "z"), ("b", -(2**40), "z"), ("c", 5, None), (None, 5, None), ("a", None, None)]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert intervals.interval_lookup(df, "v", bands.limit(0), ["o"], by=["g"]).filter("o IS NULL").count() == 9
+    assert intervals.interval_lookup(df.limit(0), "v", bands, ["o"], by=["g"]).count() == 0
+
+
+def test_awards_from_flags(spark):
+    levels = spark.createDataFrame([(2, "b", 20, "B"), (1, "a", 30, "A"), (3, "c", 10, "C"), (4, "absent", 5, "D")], "pos int, flag string, score int, name string")
+    data = [(1, d(2020, 8), 0, 1, 1), (1, d(2020, 9), 0, 0, 1), (1, d(2020, 10), 1, 0, None), (1, d(2021, 9), 0, 0, 0), (2, d(2020, 9), None, 0, 0)]
+    df = spark.createDataFrame(data, "e int, p date, a int, b int, c int")
+    got = rows(rollup.awards_from_flags(df, "e", "p", fn.fiscal_year("p"), levels))
+    assert got == [
+        (1, d(2020, 8), 2020, 20, "B", 20, "B"), (1, d(2020, 9), 2021, 10, "C", 30, "A"), (1, d(2020, 10), 2021, 30, "A", 30, "A"),
+        (1, d(2021, 9), 2022, None, None, None, None), (2, d(2020, 9), 2021, None, None, None, None),
+    ]
+
+
 def test_latest_rows_keeps_ties_and_dedup_is_deterministic(spark):
     df = spark.createDataFrame([(1, d(2020, 1), 3), (1, d(2020, 2), 9), (1, d(2020, 2), 4), (2, d(2020, 1), 1)], "e int, p date, v int")
     assert rows(rollup.latest_rows(df, "e", "p"), "e", "v") == [(1, d(2020, 2), 4), (1, d(2020, 2), 9), (2, d(2020, 1), 1)]
