@@ -85,12 +85,13 @@ def wide_features(
     frames = Frames(df, entity, period, rolls, ks)
     families = [f"{frames.value(spec, k)} AS {spec.stem}_{k}m" for spec in rolls for k in ks]
     by_stem = {spec.stem: spec for spec in rolls}
-    wide = df.select(*named, *[F.expr(e) for e in frames.first()])
-    plain = [c for c in wide.columns if not c.startswith("_roll")]
+    # The finished columns travel through the second window as one field.
+    wide = df.select(entity, period, F.struct(*named).alias("_plain"), *[F.expr(e) for e in frames.first()])
+    plain = wide.schema["_plain"].dataType.names
     known = [s for s in tracked if f"{s}_12m" in set(plain)]
     years = [f"{f'_{s}_lyr' if s in known else frames.value(by_stem[s], 12, 12)} AS {s}_12m_lyr" for s in tracked]
-    before = [f"lag({s}_12m, 12) {over_entity(entity, period)} AS _{s}_lyr" for s in known]
-    wide = wide.selectExpr("*", *frames.lags(), *before).selectExpr(*[f"`{c}`" for c in plain], *families, *years)
+    before = [f"lag(_plain.{s}_12m, 12) {over_entity(entity, period)} AS _{s}_lyr" for s in known]
+    wide = wide.selectExpr("*", *frames.lags(), *before).selectExpr("_plain.*", *families, *years)
     have = set(plain) | {f"{spec.stem}_{k}m" for spec in rolls for k in ks}
     momenta = [f"{s}_3m / nullif({s}_6m - {s}_3m, 0) AS {s}_3m_mom" for s in tracked if {f"{s}_3m", f"{s}_6m"} <= have]
     return wide.selectExpr("*", *momenta, *[f"{s}_12m / nullif({s}_12m_lyr, 0) AS {s}_12m_12m_mom" for s in tracked])

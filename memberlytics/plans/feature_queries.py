@@ -124,8 +124,8 @@ def support_tables(spark, sf, p):
 STAR_KEYS = [*KEY, "sponsor_id", "province", "year", "fy", "rank", "yearly_rank", *[f"{h}_head" for h in b.HEADS]]
 
 
-def star(spark, sf, p):
-    """Panel rows with every lookup attached; still one row per (member, month)."""
+def star(spark, sf, p, where: str | None = None):
+    """Panel rows, or those ``where`` holds, with every lookup attached; still one row per (member, month)."""
     t = support_tables(spark, sf, p)
     down = t["downline"]
     own = down.filter(F.col("sponsor_id").isNotNull()).withColumnRenamed("sponsor_id", "member_id")
@@ -143,7 +143,8 @@ def star(spark, sf, p):
         ("gar", t["global_rank"], ["member_id", "fy"]),
         ("ids", id_map(spark, sf), ["member_id"]),
     ]
-    rows = ft.star_join(ft.packed(p, STAR_KEYS, "panel"), lookups)
+    rows = p if where is None else p.filter(where)  # next to the written panel: only its rows are joined
+    rows = ft.star_join(ft.packed(rows, STAR_KEYS, "panel"), lookups)
     return ft.unpack(rows, ["panel", *[name for name, _, _ in lookups]])
 
 
@@ -201,6 +202,7 @@ def feature_table(spark, sf):
     return ft.wide_features(rows, "member_id", "month", passing, fam.CURRENT, fam.FAMILIES, others, tracked=fam.TRACKED)
 
 
+TENURES = tuple(range(1, 16))
 INPUTS = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region", "events")
 _written: dict[tuple, object] = {}
 
@@ -215,23 +217,27 @@ def written_once(spark, sf, name: str, build):
     return _written[key][1]
 
 
-def star_rows(spark, sf):
-    return written_once(spark, sf, "star", lambda: star(spark, sf, base_panel(spark, sf)))
+def early_rows(spark, sf, last: int):
+    """The star's rows of tenure 0 to ``last``.  Frames only look back, so they need no later rows."""
+    return written_once(spark, sf, f"star{last}", lambda: star(spark, sf, base_panel(spark, sf), f"tenure <= {last}"))
 
 
 def features(spark, sf):
     return written_once(spark, sf, "features", lambda: feature_table(spark, sf))
 
 
-def tenure_slices(rows, tenures):
+def tenure_slices(spark, sf, tenures, label=None):
     """Rows of the star whose tenure is among ``tenures``, each family over as many rows as the tenure says.
 
-    All tenures come from one window.  Frames only look back, so later rows go before it; columns tied to a fixed frame are left out.
-    Both filters stand next to a written table: above or below a select of a thousand columns the planner would try to infer
-    conditions for each of them.
+    All tenures come from one window, and columns tied to a fixed frame are left out.  ``label`` (member_id and further
+    columns) is joined before the window, so only its members are computed.  The filter stands next to a written table: above or
+    below a select of a thousand columns the planner would try to infer conditions for each of them.
     """
     passing, others = feature_columns()
-    early = stage(rows.filter(F.col("tenure") <= max(tenures)), "early")
+    early = early_rows(spark, sf, max(TENURES))
+    if label is not None:
+        early = early.join(label, "member_id")
+        others = [*others, *[c for c in label.columns if c != "member_id"]]
     early, families = ro.rolling_over_tenure(early, "member_id", "month", "tenure", fam.FAMILIES)
     wide = ft.wide_features(early, "member_id", "month", passing, fam.CURRENT, [], [*others, *families])
     framed = set(shape.framed_columns(wide.columns))

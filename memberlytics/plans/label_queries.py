@@ -11,7 +11,7 @@ from memberlytics.plans.catalog import query
 from memberlytics.plans.oracle import DENSE, DENSE_ONLY, PANEL, cte
 from memberlytics.plans.panel_queries import BANDS
 from memberlytics.plans.window_queries import KEY
-from memberlytics.session import stage
+from memberlytics.session import broadcast_if_small, stage
 
 
 def _active():
@@ -174,28 +174,25 @@ for _a, _m, _s in (("aug", 8, "4"), ("nov", 11, "1"), ("feb", 2, "-2")):
 
 # --- renewal training data -------------------------------------------------------------------
 
-TENURES = tuple(range(1, 16))
-
-
-def slices(spark, sf, tenures):
-    return fq.tenure_slices(fq.star_rows(spark, sf), tenures)
+TENURES = fq.TENURES
 
 
 @query("renewal_train_slice", cte(*fq.STAR_PARTS, fq.slices_sql((2,)), body="SELECT * FROM slices"))
 def renewal_train_slice(spark, sf):
-    return fq.comparable(slices(spark, sf, (2,)))
+    return fq.comparable(fq.tenure_slices(spark, sf, (2,)))
 
 
 @query("renewal_train_union", cte(*fq.STAR_PARTS, fq.slices_sql(TENURES), body="SELECT * FROM slices"))
 def renewal_train_union(spark, sf):
-    return fq.comparable(slices(spark, sf, TENURES))
+    return fq.comparable(fq.tenure_slices(spark, sf, TENURES))
 
 
 def renewal_rows(spark, sf):
     """Slices of the wide table with their label, sums divided by the tenure, active sellers only."""
-    d = b.dense_panel(spark, sf)
-    label = renewal(d).select("member_id", "signup_month", F.col("signup_year").alias("n_signup_year"), "renewal_flag")
-    rows = slices(spark, sf, TENURES).drop("signup_month").join(label, "member_id")
+    label = renewal(b.dense_panel(spark, sf))
+    label = label.select("member_id", F.col("signup_month").alias("first_month"), F.col("signup_year").alias("n_signup_year"), "renewal_flag")
+    rows = fq.tenure_slices(spark, sf, TENURES, broadcast_if_small(label, "renewal_label")).drop("signup_month")
+    rows = rows.withColumnRenamed("first_month", "signup_month")
     rows = shape.normalize_by(rows, shape.summed_columns(rows.columns), "n_tenure")
     rows = rows.filter((F.col("i_status") == "ACTIVE") & (F.col("i_member_type") == "I"))
     return rows.withColumn("n_signup_month", F.month("signup_month")).drop("i_status", "i_member_type")
