@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
+from memberlytics.functions import portable_bucket
 from memberlytics.operators import shape
+from memberlytics.operators.ranking import rank_sum_auc
 
 FEATURES = "features"
 # Defaults of the models.
@@ -78,38 +81,57 @@ def fit_model(
     return Pipeline(stages=stages).fit(df)
 
 
-def cross_validate(
-    encoded: DataFrame, target: str, grid: Mapping[str, Sequence] = GRID, folds: int = 5, params: Mapping | None = None,
-    parallelism: int = 4,
-) -> CrossValidatorModel:
-    """Grid search by area under the curve over already encoded features."""
-    gbt = classifier(target, "gbt", params)
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(gbt.getParam(name), list(values))
-    cv = CrossValidator(
-        estimator=gbt, estimatorParamMaps=builder.build(), numFolds=folds, parallelism=parallelism, seed=PARAMS["seed"],
-        evaluator=BinaryClassificationEvaluator(labelCol=target, metricName="areaUnderROC"),
-    )
-    return cv.fit(encoded)
+def grid_points(grid: Mapping[str, Sequence] = GRID) -> list[dict]:
+    """All combinations, the last parameter changing fastest."""
+    return [dict(zip(grid, values)) for values in product(*grid.values())]
 
 
-def cv_table(model: CrossValidatorModel, spark) -> DataFrame:
-    """One row per grid point: parameters and mean metric."""
-    rows = [
-        (i, ", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda e: e[0].name)), float(m))
-        for i, (pm, m) in enumerate(zip(model.getEstimatorParamMaps(), model.avgMetrics))
-    ]
-    return spark.createDataFrame(rows, "point int, params string, auc double")
+def grid_search(
+    encoded: DataFrame, target: str, fold: str, grid: Mapping[str, Sequence] = GRID, folds: int = 5, params: Mapping | None = None,
+    parallelism: int = 4, halving: bool = True,
+) -> DataFrame:
+    """One row per grid point: ``point``, ``params``, ``folds`` it was fitted on and its mean area under the curve.
+
+    ``encoded`` holds the features, the target and in ``fold`` a number from 0 to ``folds`` - 1 that keeps what belongs together,
+    such as the rows of a member, on one side of every split (``member_folds``).  It should be a written table, because
+    every fit reads it.  With ``halving`` each fold is a round after which the better half of the points goes on, at least one; without,
+    every point is fitted on every fold.
+    """
+    points, found = grid_points(grid), {}
+    metric = BinaryClassificationEvaluator(labelCol=target, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
+    alive = list(range(len(points)))
+    with ThreadPoolExecutor(parallelism) as pool:
+        for f in range(folds):
+            train, test = encoded.filter(F.col(fold) != f), encoded.filter(F.col(fold) == f)
+
+            def fit(i: int) -> float:
+                return metric.evaluate(classifier(target, "gbt", {**(params or {}), **points[i]}).fit(train).transform(test))  # noqa: B023
+
+            for i, auc in zip(alive, pool.map(fit, alive)):
+                found.setdefault(i, []).append(float(auc))
+            if halving:
+                alive = sorted(alive, key=lambda i: (-sum(found[i]) / len(found[i]), i))[: -(-len(alive) // 2)]
+    names = [", ".join(f"{k}={v}" for k, v in sorted(p.items())) for p in points]
+    rows = [(i, names[i], len(m), sum(m) / len(m)) for i, m in sorted(found.items())]
+    return encoded.sparkSession.createDataFrame(rows, "point int, params string, folds int, auc double")
+
+
+def member_folds(df: DataFrame, key: str, folds: int = 5, seed: int = 0, name: str = "fold") -> DataFrame:
+    """Adds a fold number that is the same for all rows of a key on every run."""
+    return df.withColumn(name, portable_bucket([key], folds, seed))
 
 
 def evaluate(predicted: DataFrame, target: str) -> DataFrame:
-    """Rows (metric, value).  The area under the curve is given for two classes only."""
+    """Rows (metric, value).  With more than two classes there is an area under the curve for each, against all others."""
     spark = predicted.sparkSession
-    values = []
-    if _classes(predicted) == 2:
+    values, classes = [], _classes(predicted)
+    if classes == 2:
         auc = BinaryClassificationEvaluator(labelCol=target, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
         values.append(("auc", float(auc.evaluate(predicted))))
+    elif classes > 2:
+        p = predicted.select(F.col(target).cast("double").alias("y"), vector_to_array("probability").alias("p"))
+        each = rank_sum_auc(p, "y", {float(k): F.get("p", F.lit(k)) for k in range(classes)})
+        values += [(f"auc_{int(r['class'])}", r["auc"]) for r in each.orderBy("class").collect()]  # a row a class
     # One pass: everything else follows from the counts of (label, prediction).
     counts = predicted.groupBy(F.col(target).cast("double").alias("y"), F.col("prediction").alias("p")).count().collect()
     total = sum(r["count"] for r in counts)

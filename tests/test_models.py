@@ -87,6 +87,28 @@ def test_score_threshold_metrics_and_unseen_category(spark, data, model):
     assert imp.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
 
 
+def test_grid_search_by_rounds_and_in_full(spark, data):
+    folded = ml.member_folds(ml.fit_encoder(data, "y", KEYS).transform(data), "id", 3)
+    assert folded.groupBy("fold").count().count() == 3
+    grid, fixed = {"maxDepth": [1, 2, 3], "maxIter": [1, 2]}, {"maxBins": 8}
+    rounds = ml.grid_search(folded, "y", "fold", grid, 3, fixed).orderBy("point").collect()
+    full = ml.grid_search(folded, "y", "fold", grid, 3, fixed, halving=False).orderBy("point").collect()
+    assert [r["params"] for r in rounds] == [f"maxDepth={d}, maxIter={i}" for d in (1, 2, 3) for i in (1, 2)]
+    assert sorted(r["folds"] for r in rounds) == [1, 1, 1, 2, 3, 3] and {r["folds"] for r in full} == {3}
+    assert all(r["auc"] == f["auc"] for r, f in zip(rounds, full) if r["folds"] == 3)
+    assert max(r["auc"] for r in full) > 0.8
+
+
+def test_areas_of_three_classes(spark):
+    rnd = random.Random(4)
+    rows = [(float(k), rnd.random() + k, rnd.random(), "u") for k in (0, 1, 2) for _ in range(60)]
+    three = spark.createDataFrame(rows, "y double, n_a double, n_b double, i_c string")
+    model = ml.fit_model(three, "y", [], "forest", {"maxDepth": 2, "numTrees": 3})
+    got = {r["metric"]: r["value"] for r in ml.evaluate(model.transform(three), "y").collect()}
+    assert {"auc_0", "auc_1", "auc_2", "accuracy"} <= set(got) and "auc" not in got
+    assert all(0.8 < got[f"auc_{k}"] <= 1 for k in range(3))
+
+
 def test_manifest_mismatch_is_an_error(spark, data):
     path = staging_path(spark, "manifest")
     wr.write_manifest(data, ["n_a", "n_b"], path)
