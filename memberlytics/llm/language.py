@@ -30,14 +30,18 @@ def held_out(doc_id) -> F.Column:
 
 
 def labelled_sample(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(text, lang): a hash sample of the labelled documents that are not held out, about ``sample`` per language."""
+    """(text, lang): a hash sample of the labelled documents that are not held out, about ``sample`` per language.
+
+    Documents are chosen by id and text, copies count once, and there are never more than four times as many.
+    """
     d = docs.select("doc_id", "text", F.col("lang").alias("lang"))
     d = d.filter(F.col("lang").isNotNull() & (F.length("text") > 0) & (F.length("text") <= SAMPLE_CHARS) & ~held_out(F.col("doc_id")))
     per = {r["lang"]: r["n"] for r in d.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # few languages
     if not per:
         return d.select("text", "lang").limit(0)
     share = F.create_map(*[F.lit(x) for k, n in per.items() for x in (k, min(1.0, sample / n))])
-    return d.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)).select("text", "lang")
+    picked = d.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+    return picked.select("text", "lang").distinct().limit(4 * sample * len(per))
 
 
 def fit(sample: DataFrame, rounds: int = 25) -> crf.Model | None:
@@ -123,8 +127,14 @@ def predict(
 
 
 def keep_known(docs: DataFrame, least: float = 0.4) -> DataFrame:
-    """Rows whose language is recognised with at least that share of their words; all columns stay."""
-    p = predict(docs, fit(labelled_sample(docs)), names=("__lang", "__score"))
+    """Rows whose language is recognised with at least that share of their words; all columns stay.
+
+    Without a labelled word nothing can be recognised, and all rows stay.
+    """
+    model = fit(labelled_sample(docs))
+    if model is None:
+        return docs
+    p = predict(docs, model, names=("__lang", "__score"))
     return p.filter((F.col("__lang") != UNKNOWN) & (F.col("__score") >= least)).select(*docs.columns)
 
 

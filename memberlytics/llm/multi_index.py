@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from memberlytics.llm.components import connected_components
 from memberlytics.llm.registry import query, table
@@ -38,6 +39,8 @@ def unit_vectors(x: np.ndarray) -> np.ndarray:
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
+    if x.shape[1] == 0:  # the half of a vector of one component
+        return x[:1].copy()
     c = x[np.linspace(0, len(x) - 1, k).astype(int)].copy()
     for _ in range(rounds):
         near = ((c * c).sum(axis=1) - 2 * x @ c.T).argmin(axis=1)
@@ -178,33 +181,35 @@ def near_vectors(
 ) -> DataFrame:
     """(vec_id, n_links, component_id): one row per row of ``vectors`` (vec_id, embedding).
 
-    Links are the pairs of rows with a cosine of at least ``threshold`` that the traversal finds; equal vectors always link.  A
-    vector that is null, zero or empty, holds null or non-finite components, or has another length than most, links with
-    nothing, and so does a row without vec_id (its component is null).
+    Links are the pairs of rows with a cosine of at least ``threshold`` that the traversal finds; equal vectors always link.
+    Vectors of different lengths do not link; each length has an index of its own.  A vector that is null, zero or empty, or
+    holds null or non-finite components, links with nothing, and so does a row without vec_id (its component is null).
     """
-    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("v"))
+    kind = "float" if isinstance(vectors.schema["embedding"].dataType.elementType, FloatType) else "double"
+    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = F.coalesce(~bad & F.exists("v", lambda x: x != 0) & F.col("vec_id").isNotNull(), F.lit(False))
-    v = v.withColumn("usable", usable).withColumn("size", F.size("v"))
+    v = v.withColumn("size", F.when(usable, F.size("v")))
     v = v.withColumn("k1", F.xxhash64("v")).withColumn("k2", F.xxhash64(F.lit(1), "v"))
-    spark = vectors.sparkSession
-    sizes = v.filter("usable").groupBy("size").count().orderBy(F.desc("count"), "size").first()
-    alone = v.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    if sizes is None:
-        return alone
-    size = sizes["size"]
-    good = F.col("usable") & (F.col("size") == size)
-    entries = v.filter(good).groupBy("k1", "k2").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("m"), F.first("v").alias("v"))
+    out = v.filter("size IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    for row in v.filter("size IS NOT NULL").select("size").distinct().orderBy("size").collect():  # the lengths of a model's vectors: few
+        out = out.union(_near_of_size(v.filter(F.col("size") == row["size"]), row["size"], kind, threshold, recall, sample))
+    return out
+
+
+def _near_of_size(v: DataFrame, size: int, kind: str, threshold: float, recall: float, sample: int) -> DataFrame:
+    """(vec_id, n_links, component_id) of usable vectors of one length."""
+    entries = v.groupBy("k1", "k2").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("m"), F.first("v").alias("v"))
     entries = stage(entries, "entries")
     n = entries.count()
     share = min(1.0, sample / n)
     picked = entries.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share * (1 << 20)).select("id", "v").collect() or entries.limit(1).collect()
     picked.sort(key=lambda r: r["id"])
     k = int(min(MAX_CODES, max(MIN_CODES, (n / PER_CELL) ** 0.5)))
-    index = Index(unit_vectors(np.array([r["v"] for r in picked], np.float32)), min(k, len(picked)), threshold, recall)
+    index = Index(unit_vectors(np.array([r["v"] for r in picked], np.float64)), min(k, len(picked)), threshold, recall)
     cells = len(index.codes[0]) * len(index.codes[1])
     placed = entries.select("id", "m", "v").mapInArrow(
-        _traverse_batches(index, size), "id long, m long, v array<float>, own int, visits array<int>"
+        _traverse_batches(index, size), f"id long, m long, v array<{kind}>, own int, visits array<int>"
     )
     placed = stage(placed, "placed")
     visits = placed.select("own", F.explode("visits").alias("cell"))
@@ -232,10 +237,8 @@ def near_vectors(
     named = stage(named.select(
         "k1", "k2", (F.col("m") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id")
     ), "named")
-    keys = stage(v.filter(good).select("vec_id", "k1", "k2"), "keys")
-    return keys.join(named, ["k1", "k2"]).select("vec_id", "n_links", "component_id").union(
-        v.filter(~good).select("vec_id", F.lit(0).cast("long"), "vec_id")
-    )
+    keys = stage(v.select("vec_id", "k1", "k2"), "keys")
+    return keys.join(named, ["k1", "k2"]).select("vec_id", "n_links", "component_id")
 
 
 ORACLE = """WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL),

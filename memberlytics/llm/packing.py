@@ -46,8 +46,11 @@ class _Encoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        self.loaded = Tokenizer.from_file(path)
+        # Strings of special tokens cross words: a text that holds one, in any case of its letters, is encoded whole.
+        self.special = [t.content.encode().lower() for t in self.loaded.get_added_tokens_decoder().values()]
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # for words of other texts
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.mark = self._ids(SEPARATOR)
         self.known: dict[bytes, bytes] = {}
@@ -124,7 +127,8 @@ class _Encoder:
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text and the end id, as little-endian bytes."""
-        words = [(t or b"").split() for t in texts]
+        whole = {i for i, t in enumerate(texts) if t and self._has_special(t)}
+        words = [[] if i in whole else (t or b"").split() for i, t in enumerate(texts)]
         new = set(chain.from_iterable(words)).difference(self.known)
         if len(self.known) + len(new) > KNOWN:
             self.known = {}
@@ -132,7 +136,17 @@ class _Encoder:
         self._learn(list(new))
         end = np.array([END_ID], self.dtype).tobytes()
         get = self.known.__getitem__
-        return [b"".join(map(get, w)) + end for w in words]
+        ids = [b"".join(map(get, w)) + end for w in words]
+        for i in whole:
+            found = self.loaded.encode(texts[i].decode(), add_special_tokens=False).ids
+            ids[i] = np.array(found, self.dtype).tobytes() + end
+        return ids
+
+    def _has_special(self, text: bytes) -> bool:
+        if not any(s[:1] in text for s in self.special):
+            return False
+        low = text.lower()
+        return any(s in low for s in self.special)
 
 
 def _encode_batches(path: str):

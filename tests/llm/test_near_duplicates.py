@@ -132,6 +132,17 @@ def test_near_vectors(spark, monkeypatch, residents):
     assert sorted(str((r["vec_id"], r["n_links"], r["component_id"])) for r in got) == near_by_force(rows)
 
 
+def test_near_vectors_of_several_lengths_in_double_precision(spark):
+    big = [1e300, 2e300, -1e300]
+    close = [1.0, 0.0, 0.0], [0.95, (1 - 0.95**2) ** 0.5 * (1 - 1e-12), 0.0], [0.95, (1 - 0.95**2) ** 0.5 * (1 + 1e-9), 0.0]
+    rows = [(1, [1.0, 2.0, 3.0, 4.0]), (2, [2.0, 4.0, 6.0, 8.0]), (3, [1.0, 0.0, 0.0, 0.0]), (4, [5.0, 6.0]), (5, [5.0, 6.0]), (6, big), (7, big),
+            (8, [7.0]), (9, [1.0]), (10, [-1.0]), *[(11 + i, list(v)) for i, v in enumerate(close)]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in multi_index.near_vectors(df).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (1, 4), 5: (1, 4), 6: (1, 6), 7: (1, 6), 8: (1, 8), 9: (1, 8), 10: (0, 10),
+                   11: (1, 11), 12: (2, 11), 13: (1, 11)}
+
+
 def test_near_vectors_empty(spark):
     for rows in ([], [(1, None), (2, [0.0])]):
         df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")

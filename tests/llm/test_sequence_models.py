@@ -77,3 +77,11 @@ def test_language_of_odd_texts(spark):
     nothing = documents(spark, [])
     assert language.fit(language.labelled_sample(nothing)) is None and language.predict(nothing, model).count() == 0
     assert {r["lang_pred"] for r in language.predict(docs, None).collect()} == {"und"}
+
+
+def test_documents_without_labels_stay_and_the_sample_is_bounded(spark):
+    plain = documents(spark, [(i, f"some words {i}", None) for i in range(5)])
+    assert sorted(map(tuple, language.keep_known(plain).collect())) == sorted(map(tuple, plain.collect()))
+    rows = [(None, f"text of row {i}", "en") for i in range(3000)] + [(None, "the same text", "de")] * 3000
+    got = language.labelled_sample(documents(spark, rows), 100).collect()
+    assert len(got) <= 800 and 50 <= sum(r["lang"] == "en" for r in got) <= 200

@@ -54,10 +54,10 @@ def test_plan_shard(seed):
 def test_encoder_is_exact():
     encoder = packing._Encoder(packing.default_tokenizer())
     plain = Tokenizer.from_file(packing.default_tokenizer())
-    plain.encode_special_tokens = True
     rnd = random.Random(3)
     alphabet = "abcXYZ éÉçñÑßİıŉſ'’\"-.,;:0123456789²½ \n\t ­́̇ΣσςЖ中😀\x01\x1cK'sS've<|>"
     texts = ["".join(rnd.choices(alphabet, k=rnd.randrange(60))) for _ in range(3000)] + ["<|endoftext|> it's I'LL", "", "'sa ''s 's's"]
+    texts += ["a<|endoftext|>b <|startoftext|><|ENDOFTEXT|>", "<|endof text|> <|endoftext|", "x<|StartOfText|>" * 50, "é<|endoftext|≯"]
     for text, ids in zip(texts, encoder.encode([t.encode() for t in texts])):
         want = plain.encode(text, add_special_tokens=False).ids + [packing.END_ID]
         assert np.frombuffer(ids, encoder.dtype).tolist() == want
