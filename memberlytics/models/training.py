@@ -9,7 +9,7 @@ from itertools import product
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
@@ -42,17 +42,49 @@ def prepare(df: DataFrame, target: str, keys: Sequence[str], where: str | None =
     return shape.impute(shape.cast_roles(df, numeric, categorical), numeric, categorical)
 
 
-def encoder_stages(numeric: Sequence[str], categorical: Sequence[str], one_hot: bool = False) -> list:
+REST = "rest_of_values"
+
+
+def frequent_values(df: DataFrame, categorical: Sequence[str], bins: int) -> dict[str, list[str]]:
+    """For each category with more than ``bins`` - 2 values its most frequent ones, ties by value; two bins are for the rest and the unseen.
+
+    One pass estimates the numbers of values; only columns near the limit or above it are counted exactly.
+    """
+    limit = bins - 2
+    if not categorical:
+        return {}
+    about = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
+    found = {}
+    for c in categorical:
+        if about[c] > 0.7 * limit:
+            top = df.groupBy(c).count().orderBy(F.desc("count"), c).limit(limit + 1).collect()
+            if len(top) > limit:
+                found[c] = [r[0] for r in top[:limit] if r[0] is not None]
+    return found
+
+
+def cut_stage(kept: Mapping[str, Sequence[str]]) -> SQLTransformer:
+    """A stage that adds ``{name}_kept``: the value if it is among the kept ones, else the rest."""
+    text = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    cases = [f"CASE WHEN `{c}` IN ({', '.join(map(text, values))}) THEN `{c}` ELSE '{REST}' END AS `{c}_kept`" for c, values in kept.items()]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(cases)} FROM __THIS__")
+
+
+def encoder_stages(
+    numeric: Sequence[str], categorical: Sequence[str], one_hot: bool = False, kept: Mapping[str, Sequence[str]] | None = None
+) -> list:
     """One indexer for all categories (a single pass), optional one-hot vectors, one vector.
 
-    Unseen categories get an index of their own, so scoring never fails on them.
+    Unseen categories get an index of their own, so scoring never fails on them.  ``kept`` (``frequent_values``) joins the other
+    values of its categories to one first.
     """
     stages, inputs = [], list(numeric)
+    if kept:
+        stages.append(cut_stage(kept))
     if categorical:
         indexed = [f"{c}_indexed" for c in categorical]
-        stages.append(
-            StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep", stringOrderType="frequencyDesc")
-        )
+        source = [f"{c}_kept" if kept and c in kept else c for c in categorical]
+        stages.append(StringIndexer(inputCols=source, outputCols=indexed, handleInvalid="keep", stringOrderType="frequencyDesc"))
         if one_hot:
             vectors = [f"{c}_vec" for c in indexed]
             stages.append(OneHotEncoder(inputCols=indexed, outputCols=vectors, dropLast=False))
@@ -69,7 +101,8 @@ def classifier(target: str, algo: str = "gbt", params: Mapping | None = None):
 
 def fit_encoder(df: DataFrame, target: str, keys: Sequence[str], one_hot: bool = False) -> PipelineModel:
     numeric, categorical = shape.roles(df, target, keys)
-    return Pipeline(stages=encoder_stages(numeric, categorical, one_hot)).fit(df)
+    kept = frequent_values(df, categorical, PARAMS["maxBins"])
+    return Pipeline(stages=encoder_stages(numeric, categorical, one_hot, kept)).fit(df)
 
 
 def fit_model(
@@ -77,7 +110,8 @@ def fit_model(
 ) -> PipelineModel:
     """Encoder and classifier as one model, saved and loaded as one."""
     numeric, categorical = shape.roles(df, target, keys)
-    stages = [*encoder_stages(numeric, categorical, one_hot), classifier(target, algo, params)]
+    kept = frequent_values(df, categorical, (params or {}).get("maxBins", PARAMS["maxBins"]))
+    stages = [*encoder_stages(numeric, categorical, one_hot, kept), classifier(target, algo, params)]
     return Pipeline(stages=stages).fit(df)
 
 

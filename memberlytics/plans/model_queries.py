@@ -73,6 +73,19 @@ def ml_one_hot(spark, sf):
     return v.select(*KEY, "ones", F.get("at", F.lit(0)).alias("region_at"), F.get("at", F.lit(1)).alias("rank_at"), "size")
 
 
+@query(
+    "ml_frequent_categories",
+    """SELECT category, count(*) AS n FROM (SELECT CASE WHEN r <= 46 THEN l_partkey::VARCHAR ELSE 'rest_of_values' END AS category FROM lineitem
+       JOIN (SELECT l_partkey AS k, row_number() OVER (ORDER BY count(*) DESC, l_partkey::VARCHAR) AS r FROM lineitem GROUP BY 1) ON l_partkey = k)
+       GROUP BY 1""",
+)
+def ml_frequent_categories(spark, sf):
+    """A category with as many values as there are parts: what the fitted cut keeps, and the rest."""
+    items = b.table(spark, sf, "lineitem").select(F.col("l_partkey").cast("string").alias("i_part"))
+    out = ml.cut_stage(ml.frequent_values(items, ["i_part"], 48)).transform(items)
+    return out.groupBy(F.col("i_part_kept").alias("category")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("ml_assemble", cte(PANEL, body="SELECT member_id, month, CAST(pv + rev + orders AS DOUBLE) AS total FROM panel"))
 def ml_assemble(spark, sf):
     p = b.monthly(spark, sf).select(*KEY, "pv", "rev", F.col("orders").cast("double").alias("orders"))

@@ -41,12 +41,48 @@ def test_contributions_add_up_to_the_margin(data, model):
     assert names == ["c_n_a", "c_n_b", "c_i_c_indexed"]
 
 
+def leaves_of(tree, path=()):
+    """(value, [(feature, share of rows, tests)]) of each leaf; a test is (threshold or None, left categories or None, must go left)."""
+    if not tree.children:
+        merged = {}
+        for feature, share, test in path:
+            entry = merged.setdefault(feature, [1.0, []])
+            entry[0] *= share
+            entry[1].append(test)
+        return [(tree.value, [(f, z, tests) for f, (z, tests) in merged.items()])]
+    sides = zip(tree.children, tree.shares, (True, False))
+    return [leaf for c, z, left in sides for leaf in leaves_of(c, (*path, (tree.feature, z, (tree.threshold, tree.left_set, left))))]
+
+
+def test_deep_trees_with_repeated_features_add_up():
+    rng = np.random.default_rng(3)
+
+    def grow(depth):
+        if depth == 0 or rng.random() < 0.1:
+            return explain.Node(float(rng.normal()))
+        share = float(rng.uniform(0.05, 0.95))
+        return explain.Node(0.0, int(rng.integers(4)), float(rng.random()), None, (grow(depth - 1), grow(depth - 1)), (share, 1 - share))
+
+    trees = [grow(9) for _ in range(5)]
+    x = rng.random((50, 4))
+    phi, bias = explain.shapley(x, trees, 4)
+
+    def value(node, row):
+        while node.children:
+            node = node.children[0 if row[node.feature] <= node.threshold else 1]
+        return node.value
+
+    assert np.allclose(phi.sum(axis=1) + bias, [sum(value(t, r) for t in trees) for r in x], atol=1e-9)
+
+
 def test_contributions_equal_the_definition(spark, data, model):
     """Shapley values by enumerating all coalitions."""
     gbt = model.stages[-1]
-    leaves = explain.leaf_paths(gbt, spark)
+    trees = explain.forest(gbt, spark)
+    leaves = [leaf for tree in trees for leaf in leaves_of(tree)]
     x = np.array(model.transform(data).limit(20).select(vector_to_array("features")).toPandas().iloc[:, 0].tolist())
-    got, _ = explain.shapley(x, leaves, 3)
+    got, bias = explain.shapley(x, trees, 3)
+    assert bias == pytest.approx(sum(v * math.prod(z for _, z, _ in path) for v, path in leaves), abs=1e-12)
 
     def passes(row, feature, tests):
         ok = True
@@ -99,6 +135,21 @@ def test_grid_search_by_rounds_and_in_full(spark, data):
     assert max(r["auc"] for r in full) > 0.8
 
 
+def test_thousands_of_categories(spark):
+    """Trees take 48 bins; the rarer of 5,000 categories share one, and unseen ones go with them."""
+    rows = [(i, f"c{i % 5000:04d}", 0) for i in range(6000)] + [(10_000 + i, f"it's {i % 40}", 1) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, i_c string, y int").withColumn("n_a", F.lit(1.0))
+    model = ml.fit_model(df, "y", KEYS, "gbt", {"maxIter": 2})
+    path = staging_path(spark, "cut")
+    model.write().save(path)
+    new = spark.createDataFrame([(1, "it's 7", 1.0), (2, "c0000", 1.0), (3, "never seen", 1.0), (4, None, 1.0)], "id long, i_c string, n_a double")
+    got = {r["id"]: r["scored_label"] for r in ml.score(type(model).load(path), new).collect()}
+    assert got == {1: 1, 2: 0, 3: 0, 4: 0}
+    kept = ml.frequent_values(df, ["i_c"], 48)["i_c"]
+    assert len(kept) == 46 and kept[:40] == sorted(f"it's {i}" for i in range(40)) and kept[40:] == [f"c{i:04d}" for i in range(6)]
+    assert ml.frequent_values(df.filter("id < 46"), ["i_c"], 48) == {}
+
+
 def test_areas_of_three_classes(spark):
     rnd = random.Random(4)
     rows = [(float(k), rnd.random() + k, rnd.random(), "u") for k in (0, 1, 2) for _ in range(60)]
