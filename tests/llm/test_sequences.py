@@ -119,6 +119,72 @@ def test_edits_touch_little():
     assert 0 < tree.encoded < 4 * token_counts.LEAF_CHARS
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_edits_taken_together(seed):
+    """Many edits at once, texts with and without blanks: counts of a recount, and each character is encoded once at most."""
+    rnd = random.Random(seed)
+    encode = token_counts.encoding(RANKS).encode_ordinary
+    signs = ["ab", "1", "。", "é", "'", "re", "中", "\x1c"] if seed % 2 else ["ab", " ", "  ", "\n", "'s", "9", "é", "'", "ra", "\x1c", ".", "\u3000"]
+    piece = lambda k: "".join(rnd.choices(signs, k=k))
+    text = piece(rnd.choice([0, 20, 3000, 9000]))
+    if seed % 5 == 4:
+        text = text[:2000] + " " * 1500 + text[2000:4000] + "z" * 3000 + "\n" * 700 + text[4000:]
+    tree = token_counts.CountTree(text, encode)
+    for _ in range(4):
+        places = sorted(rnd.randrange(len(text) + 1) for _ in range(2 * rnd.choice([1, 4, 60])))
+        edits = [(a, rnd.choice([a, min(a + 2, b), b]) if b - a < 900 else a, piece(rnd.choice([0, 1, 5, 1200]) if a % 7 == 0 else 1))
+                 for a, b in zip(places[::2], places[1::2])]
+        for a, b, new in reversed(sorted(edits, key=lambda e: e[:2])):
+            text = text[:a] + new + text[b:]
+        before = tree.encoded
+        tree.apply(edits)
+        assert tree.text() == text and tree.total == len(encode(text)) and tree.encoded - before <= len(text)
+        sizes, tokens = tree.leaf_sums()
+        assert sum(sizes) == len(text) and sum(tokens) == tree.total
+        tree = token_counts.CountTree(text, encode, tokens, sizes) if rnd.random() < 0.5 else tree
+
+
+def test_edits_without_blanks_and_close_together():
+    encode = token_counts.encoding(RANKS).encode_ordinary
+    text = "中文字。ab1," * 20000
+    tree = token_counts.CountTree(text, encode)
+    tree.edit(100_000, 100_001, "x")
+    assert 0 < tree.encoded < 4 * token_counts.LEAF_CHARS and tree.total == len(encode(tree.text()))
+    dense = "1234," * 400
+    tree = token_counts.CountTree(dense, encode)
+    tree.apply([(5 * i, 5 * i + 4, "#") for i in range(400)])
+    assert tree.text() == "#," * 400 and tree.encoded == 800 and tree.total == len(encode("#," * 400))
+    tree.apply([(3, 2, "late"), (0, 9, "a"), (4, 6, "b"), (10**9, -5, "end")])
+    assert tree.text() == "alateb" + ("#," * 400)[9:] + "end" and tree.total == len(encode(tree.text()))
+
+
+def test_growing_leaves_split():
+    encode = token_counts.encoding(RANKS).encode_ordinary
+    tree = token_counts.CountTree("one two", encode)
+    for i in range(200):
+        tree.edit(3, 3, f" and {i} words more" * 3)
+    assert max(map(len, tree.parts)) < 4 * token_counts.LEAF_CHARS and tree.total == len(encode(tree.text()))
+
+
+def test_token_counts_query(spark):
+    """The registered query against a plain recount of every document."""
+    import re
+    import zlib
+
+    sf = "/root/testdata/sf0.001"
+    encode = token_counts.encoding(RANKS).encode_ordinary
+    want = []
+    for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect():
+        edited = None if r["text"] is None else re.sub("[0-9]{4,}", "#", r["text"])
+        crc = None if edited is None else zlib.crc32(edited.encode())
+        want.append((r["doc_id"], len(encode(r["text"] or "")), len(encode(edited or "")), crc, len(edited or "")))
+    got = {r["doc_id"]: r for r in token_counts.op4(spark, sf).collect()}
+    assert len(got) == len(want) and any(r["n_encoded_chars"] for r in got.values())
+    for i, n, m, crc, size in want:
+        assert (got[i]["n_tokens"], got[i]["n_tokens_edited"], got[i]["edited_crc32"]) == (n, m, crc)
+        assert got[i]["n_encoded_chars"] <= size
+
+
 def test_count_edits(spark):
     rows = [(i, f"text 12345 and {i} and 987654321 " * i, "en") for i in range(1, 30)] + ODD + [(2, "again 5555", "en")]
     docs = documents(spark, rows)
@@ -130,6 +196,10 @@ def test_count_edits(spark):
         assert r["n_tokens"] == len(encode(r["text"] or "")) and r["n_tokens_edited"] == len(encode(r["edited_text"] or ""))
         assert (r["edited_text"] is None) == (r["text"] is None)
     assert any(r["n_encoded_chars"] for r in got) and token_counts.with_trees(docs.limit(0), RANKS).count() == 0
+    odd = "array(null, struct(null AS start, 2 AS end, 'x' AS text), struct(0 AS start, 4 AS end, cast(null AS string) AS text))"
+    for r in token_counts.count_edits(trees, F.expr(odd), RANKS, ["text"]).collect():
+        assert (r["edited_text"] or "") == (r["text"] or "")[4:] and sum(r["edited_leaf_tokens"]) == r["n_tokens_edited"]
+        assert sum(r["edited_leaf_chars"]) == len(r["edited_text"] or "") and r["n_tokens_edited"] == len(encode(r["edited_text"] or ""))
 
 
 def pairs_by_force(chosen, rejected):
