@@ -1,6 +1,7 @@
 """Licence scans: whole texts and single lines are brought to a canonical form and joined with known digests.
 
-The canonical form drops case, punctuation, copyright lines and differences of spelling.  All of it is DataFrame code.
+The canonical form drops case, punctuation (comment marks among it), copyright lines and differences of spelling.  All of it is
+DataFrame code.  A copyright line names a sign or a year after the word, so a wrapped "copyright holders be liable" stays.
 """
 
 from __future__ import annotations
@@ -21,7 +22,10 @@ SPELLINGS = (
     ("recognis", "recogniz"), ("favour", "favor"), ("behaviour", "behavior"), ("acknowledgement", "acknowledgment"),
     ("merchantibility", "merchantability"), ("non commercial", "noncommercial"), ("copyright holder", "copyright owner"),
 )
-COPYRIGHT = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
+COPYRIGHT = (
+    r"^[ \t/*#;%!>-]*((copyright[ \t:]*(\(c\)|©|(19|20)[0-9][0-9])|\(c\)[ \t]*(19|20)[0-9][0-9]|©)[^\n]*"
+    r"|all rights reserved[.]?[ \t\r]*)$"
+)
 
 # Notices and short licences.
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -39,11 +43,47 @@ AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLI
 EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING
 FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN
 CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution. {}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT
+HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE,
+EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_BSD_NAMES = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission. """
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for
+any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including
+commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this
+software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product,
+an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly
+marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any
+source distribution."""
+_UNLICENSE = """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use,
+compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or
+non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any
+and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to
+the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present
+and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO
+EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please
+refer to <https://unlicense.org>"""
+FULL_TEXTS = (
+    ("MIT", _MIT, ("", "MIT License", "The MIT License", "The MIT License (MIT)")),
+    ("ISC", _ISC, ("", "ISC License", "The ISC License")),
+    ("BSD-2-Clause", _BSD.format(""), ("", "BSD 2-Clause License", "The BSD 2-Clause License")),
+    ("BSD-3-Clause", _BSD.format(_BSD_NAMES), ("", "BSD 3-Clause License", "The BSD 3-Clause License")),
+    ("Zlib", _ZLIB, ("", "zlib License", "The zlib License")),
+    ("Unlicense", _UNLICENSE, ("", "The Unlicense")),
+)
 KNOWN = (
-    ("MIT", _MIT),
+    *((i, f"{title}\n{text}") for i, text, titles in FULL_TEXTS for title in titles),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
-    ("ISC", _ISC),
     ("ISC", "Released under the ISC License."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -63,8 +103,9 @@ def canonical(text: Column) -> Column:
         return reduce(lambda x, y: x | y, [F.contains(t, F.lit(p)) for p in parts])
 
     def without_copyright(t: Column) -> Column:
-        kept = F.regexp_replace(t, COPYRIGHT, "\n")
-        return F.trim(F.regexp_replace(F.when(holds(t, ["copyright", "(c)", "©"]), kept).otherwise(t), WORD_BREAK, " "))
+        kept = F.regexp_replace(t, f"(?md){COPYRIGHT}", " ")  # the line feed alone ends a line
+        marked = holds(t, ["copyright", "(c)", "©", "all rights reserved"])
+        return F.trim(F.regexp_replace(F.when(marked, kept).otherwise(t), WORD_BREAK, " "))
 
     def same_spelling(t: Column) -> Column:
         same = reduce(lambda x, p: F.regexp_replace(x, rf"\b{p[0]}", p[1]), SPELLINGS, t)
@@ -101,13 +142,13 @@ def find_licences(docs: DataFrame, licences: DataFrame) -> DataFrame:
 
 def _canonical_sql(x: str) -> str:
     lower = f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    t = rf"trim(regexp_replace(regexp_replace({lower}, '{COPYRIGHT}', chr(10), 'g'), '{WORD_BREAK}', ' ', 'g'))"
+    t = rf"trim(regexp_replace(regexp_replace({lower}, '(?m){COPYRIGHT}', ' ', 'g'), '{WORD_BREAK}', ' ', 'g'))"
     for a, b in SPELLINGS:
         t = rf"regexp_replace({t}, '\b{a}', '{b}', 'g')"
     return t
 
 
-_VALUES = ", ".join(f"('{i}', '{t}')" for i, t in KNOWN)
+_VALUES = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in KNOWN)
 ORACLE = f"""WITH k AS (SELECT DISTINCT l, {_canonical_sql("t")} AS c FROM (VALUES {_VALUES}) v(l, t)),
 u AS (SELECT doc_id, 'text' AS unit, {_canonical_sql("text")} AS c FROM documents
   UNION ALL SELECT doc_id, 'line', {_canonical_sql("one")} FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS one FROM documents))

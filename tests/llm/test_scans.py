@@ -95,7 +95,7 @@ def test_keep_unsecret(spark):
 
 
 def test_licences(spark):
-    mit = licenses.KNOWN[0][1]
+    mit = licenses.FULL_TEXTS[0][1]
     rows = [
         (1, "Copyright (c) 2020 Someone\nCopyright 2021 Other\n" + mit.replace("Software", "software").replace(",", " ,"), "en"),
         (2, "text\nreleased under the mit licence\nReleased under the MIT License.\nmore", "en"), (3, "Licensed under CC-BY-NC 4.0", "en"),
@@ -108,6 +108,27 @@ def test_licences(spark):
     assert licenses.find_licences(documents(spark, []), licenses.known_licences(spark)).count() == 0
 
 
+def test_licences_as_they_are_written(spark):
+    """Whole files: titles, copyright lines of several kinds, comment marks and other line breaks; near misses stay out."""
+    import textwrap
+
+    texts = {i: t for i, t, _ in licenses.FULL_TEXTS}
+    commented = "\n".join(f" * {x}" for x in ["Copyright 2019-2021, Someone", "All rights reserved.", "", *texts["BSD-3-Clause"].split("\n")])
+    at_line_start = texts["MIT"].replace("OR COPYRIGHT", "OR\nCOPYRIGHT")
+    rows = [
+        (1, "MIT License\n\nCopyright (c) 2020 Someone\n\n" + texts["MIT"], "en"), (2, f"/*\n{commented}\n */", "en"),
+        (3, at_line_start, "en"), (4, "The ISC License\n# (c) 2001 A\n# © B\n" + textwrap.fill(texts["ISC"], 40), "en"),
+        (5, "\n".join("// " + x for x in textwrap.wrap(texts["Zlib"], 60)), "en"), (6, texts["Unlicense"].replace(" ", "\n"), "en"),
+        (7, "Copyright\u2028(c) 2020 x\r\nCopyright: 2020 y\r\n" + texts["BSD-2-Clause"], "en"),
+        (8, texts["MIT"] + " and one condition more", "en"), (9, texts["MIT"].replace("OR COPYRIGHT HOLDERS", ""), "en"),
+        (10, "(c) you must keep this clause\n" + texts["MIT"], "en"),
+    ]
+    got = licenses.find_licences(documents(spark, rows), licenses.known_licences(spark)).filter("unit = 'text'").collect()
+    assert sorted((r["doc_id"], r["licence_id"]) for r in got) == [
+        (1, "MIT"), (2, "BSD-3-Clause"), (3, "MIT"), (4, "ISC"), (5, "Zlib"), (6, "Unlicense"),
+    ]
+
+
 PERSONAL = [
     (1, "Write a.b+c@x-y.example.com, or @no, b@c, d@e.f.", "en"), (2, "1.2.3.4.5 999.1.1.1 10.0.0.255 1.1.1.1.1.1.1.1", "en"),
     (3, "4111 1111 1111 1111 and 4111-1111-1111-1112 and 4111111111111111", "en"), (4, "é +1 (555) 123-4567, +49 30 1234567890 +1 2", "en"),
