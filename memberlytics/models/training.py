@@ -112,7 +112,10 @@ def fit_model(
     numeric, categorical = shape.roles(df, target, keys)
     kept = frequent_values(df, categorical, (params or {}).get("maxBins", PARAMS["maxBins"]))
     stages = [*encoder_stages(numeric, categorical, one_hot, kept), classifier(target, algo, params)]
-    return Pipeline(stages=stages).fit(df)
+    fitted = Pipeline(stages=stages).fit(df)
+    # A forest keeps the summary of its training and with it the session, which cannot be sent to tasks once the session has
+    # observed a write.  A copy comes without the summary.
+    return PipelineModel([*fitted.stages[:-1], fitted.stages[-1].copy()])
 
 
 def grid_points(grid: Mapping[str, Sequence] = GRID) -> list[dict]:

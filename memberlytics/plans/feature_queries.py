@@ -14,7 +14,8 @@ from memberlytics.plans import join_queries as jq
 from memberlytics.plans.catalog import query
 from memberlytics.plans.oracle import CAMPAIGNS, INCOME, MONTH_EVENTS, REPEAT, cte
 from memberlytics.plans.window_queries import KEY, MEASURES, SCOPES, active_sellers
-from memberlytics.session import broadcast_if_small, stage, stage_all
+from memberlytics.session import broadcast_if_small, current_staging, stage, stage_all
+from memberlytics.sources.readers import files_print
 
 LOS_COLS = [
     "head_exists", "leaves", "pv_per_member", "sellers", "sellers_engaged", "customers", "customers_repeat",
@@ -204,17 +205,12 @@ def feature_table(spark, sf):
 
 TENURES = tuple(range(1, 16))
 INPUTS = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region", "events")
-_written: dict[tuple, object] = {}
 
 
 def written_once(spark, sf, name: str, build):
-    """A staged table that the training queries of a session share, built anew when a file of the inputs has changed."""
-    newest = F.max("_metadata.file_modification_time")
-    stamp = tuple(b.table(spark, sf, t).agg(newest, F.count(F.lit(1))).first() for t in INPUTS)
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _written or _written[key][0] != stamp:
-        _written[key] = (stamp, stage(build(), name))
-    return _written[key][1]
+    """A staged table that the queries of a run (or, without one, of the session) share, built anew when a file of the inputs has changed."""
+    stamp = files_print(spark, [f"{sf}/{t}.parquet" for t in INPUTS])
+    return current_staging(spark).once((sf, name), stamp, build)
 
 
 def early_rows(spark, sf, last: int):

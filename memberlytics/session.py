@@ -7,9 +7,14 @@ them to a new session (tests, benchmark).
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -27,6 +32,8 @@ RECOMMENDED = {
 }
 
 _local_roots: dict[str, str] = {}
+_sessions: dict[str, Staging] = {}
+_run: ContextVar[Staging | None] = ContextVar("staging run", default=None)
 
 
 def build_session(app: str = "memberlytics", master: str | None = None, **conf: str) -> SparkSession:
@@ -55,12 +62,79 @@ def staging_root(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="memberlytics-stage-")
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
     return _local_roots[app]
 
 
+class Staging:
+    """Owner of staged tables: the folder they are written to, and the tables that several queries share."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder
+        self.shared: dict[tuple, tuple[object, DataFrame, str]] = {}
+
+    def path(self, name: str) -> str:
+        """A path in the folder that no other table uses."""
+        return f"{self.folder}/{name}-{uuid.uuid4().hex}"
+
+    def _files(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def once(self, key: tuple, stamp: object, build: Callable[[], DataFrame]) -> DataFrame:
+        """The table of ``key``, written at the first call; anew if its ``stamp`` differs or its files are gone."""
+        if key in self.shared:
+            known, table, path = self.shared[key]
+            fs, p = self._files(f"{path}/_SUCCESS")
+            if known == stamp and fs.exists(p):
+                return table
+        path = self.path(str(key[-1]))
+        self.shared[key] = (stamp, write_staged(build(), path), path)
+        return self.shared[key][1]
+
+    def close(self) -> None:
+        """Removes the folder with all tables in it."""
+        self.shared.clear()
+        fs, p = self._files(self.folder)
+        fs.delete(p, True)
+
+
+def current_staging(spark: SparkSession) -> Staging:
+    """The owner of what is staged now: the run that is open, else one that lasts as long as the session and keeps its tables."""
+    run = _run.get()
+    if run is not None and run.spark.sparkContext.applicationId == spark.sparkContext.applicationId:
+        return run
+    app, root = spark.sparkContext.applicationId, staging_root(spark)
+    if app not in _sessions or _sessions[app].folder != root:
+        _sessions.clear()  # sessions before this one have ended
+        _sessions[app] = Staging(spark, root)
+    return _sessions[app]
+
+
+@contextmanager
+def staging_run(spark: SparkSession) -> Iterator[Staging]:
+    """A run whose staged tables lie in a folder of their own, which is removed at the end, after an error too.
+
+    What the run returns reads these tables: collect or write it before the block ends.  Runs may be nested; an inner one neither
+    sees nor removes what the outer one shares.
+    """
+    run = Staging(spark, f"{staging_root(spark)}/run-{uuid.uuid4().hex}")
+    token = _run.set(run)
+    try:
+        yield run
+    finally:
+        _run.reset(token)
+        run.close()
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A path under the staging root that no other run uses."""
-    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path under the staging root, in the folder of the open run if there is one, that nothing else uses."""
+    return current_staging(spark).path(name)
+
+
+def write_staged(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -69,9 +143,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     For a table that one plan uses several times.  Compared with caching, the copy survives the
     loss of executors, later scans prune its columns, and its true size is known to the planner.
     """
-    path = staging_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return write_staged(df, staging_path(df.sparkSession, name))
 
 
 def stage_seen(df: DataFrame, name: str, **aggregates: Column) -> tuple[DataFrame, dict]:
@@ -107,5 +179,5 @@ def stage_all(tables: dict[str, DataFrame], at_once: int = 4) -> dict[str, DataF
     """Stage independent tables, a few at a time, so that small jobs share the executors."""
     staging_root(next(iter(tables.values())).sparkSession)
     with ThreadPoolExecutor(at_once) as pool:
-        done = pool.map(lambda item: stage(item[1], item[0]), tables.items())
-        return dict(zip(tables, done))
+        done = [pool.submit(copy_context().run, stage, df, name) for name, df in tables.items()]  # threads know the open run
+        return {name: d.result() for name, d in zip(tables, done)}

@@ -63,6 +63,14 @@ def source_prints(spark: SparkSession, raw: str, years: Sequence[int]) -> dict[i
     return {r["year"]: f"{r['n']} {r['size']} {r['hash']}" for r in made.collect()}  # a row a year
 
 
+def files_print(spark: SparkSession, paths: Sequence[str]) -> str:
+    """A print of the names, sizes and times of all files at some paths; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    each = F.xxhash64("path", "length", F.unix_micros("modificationTime")).cast("decimal(38,0)")
+    r = files.select("length", each.alias("h")).agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("size"), F.sum("h").alias("hash")).first()
+    return f"{r['n']} {r['size']} {r['hash']}"
+
+
 def backfill(
     spark: SparkSession,
     raw: str,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from memberlytics.models import explain, training as ml
 from memberlytics.sources import readers as rd, writers as wr
-from memberlytics.session import staging_path, staging_root
+from memberlytics.session import stage_seen, staging_path, staging_root
 
 KEYS = ["id"]
 
@@ -113,6 +113,12 @@ def test_forest_contributions_add_up_to_the_probability(data):
     assert out.join(p, "id").select(F.max(F.abs(F.col("margin") - F.col("p")))).first()[0] < 1e-9
 
 
+def test_a_forest_is_applied_after_an_observed_write(data):
+    assert stage_seen(data, "seen", rows=F.count(F.lit(1)))[1] == {"rows": 600}
+    forest = ml.fit_model(data, "y", KEYS, "forest", {"maxDepth": 2, "numTrees": 2})
+    assert forest.transform(data).filter(F.get(vector_to_array("probability"), F.lit(1)).between(0, 1)).count() == 600
+
+
 def test_score_threshold_metrics_and_unseen_category(spark, data, model):
     new = spark.createDataFrame([(1, 0.99, 0.5, "unseen"), (2, 0.01, 0.5, "z")], "id long, n_a double, n_b double, i_c string")
     got = {r["id"]: r for r in ml.score(model, new).collect()}
