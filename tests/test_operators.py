@@ -484,3 +484,22 @@ def test_scalars(spark):
     assert [tuple(r) for r in split.collect()] == [("4", "Gold"), ("7", None), (None, None)]
     lab = spark.createDataFrame([("UP",), ("SAME",), ("DOWN",), (None,)], "l string")
     assert [tuple(r) for r in lab.select(fn.encode_label("l"), fn.encode_label("l", "multi")).collect()] == [(1, 2), (1, 1), (0, 0), (0, 0)]
+
+
+def test_a_lookup_by_another_key_is_joined_by_the_rows_own(spark):
+    """The sponsor's values reach the rows by their own key; null and unknown sponsors find nothing, rows that repeat stay as many."""
+    rows = spark.createDataFrame([(1, 10, 7), (2, 10, 7), (3, 10, None), (4, 10, 8), (4, 10, 8), (5, None, 7)], "id int, t int, s int")
+    side = spark.createDataFrame([(7, 10, "a"), (None, 10, "b")], "s int, t int, v string")
+    lookup = features.by_key(rows, "a", side, ["s", "t"], ["id", "t"])
+    out = features.unpack(features.star_join(features.packed(rows, ["id", "t"], "base"), [lookup]), ["base", "a"])
+    assert sorted((r.id, r.v) for r in out.select("id", "v").collect()) == [(1, "a"), (2, "a"), (3, None), (4, None), (4, None), (5, None)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan  # the side's size was not measured
+
+
+def test_rows_left_out_of_the_wide_table_still_count_in_its_windows(spark):
+    from memberlytics.operators.rolling import Rolling
+
+    rows = spark.createDataFrame([(1, m, float(m), m % 2) for m in range(1, 7)], "id int, month int, x double, odd int")
+    out = features.wide_features(rows, "id", "month", ["id", "month", "odd"], [], [Rolling("n_sum", "x")], keep="_plain.odd = 0")
+    assert sorted((r.month, r.n_sum_3m, r.n_sum_6m) for r in out.collect()) == [(2, 3.0, 3.0), (4, 9.0, 10.0), (6, 15.0, 21.0)]
