@@ -218,6 +218,16 @@ def test_densify_fills_each_entity_between_its_bounds(small):
     assert out.filter("e = 2").agg(F.sum("x")).first()[0] == 12.0
 
 
+def test_dense_rows_are_not_merged_into_few_tasks(spark):
+    """The bounds of an entity are a few bytes, its rows are many."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = spark.createDataFrame([(k, m, 1) for k in range(100) for m in (d(1990, 1), d(1999, 12))], "id int, m date, v int")
+    out = pn.densify(df, "id", "m", fill={"v": 0})
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p"), "id").count().groupBy("p").count().collect()]
+    assert len(sizes) > n / 2 and sum(sizes) == 100  # an entity is in one partition
+    assert out.count() == 100 * 120 and out.agg(F.sum("v")).first()[0] == 200
+
+
 def test_at_offset_equals_shift_join(spark, small):
     dense = pn.densify(small, "e", "p", "month", {"x": 0.0})
     joined = pn.shift_join(dense, dense, "e", "p", 3, {"x": "later"}).select("e", "p", "later")
