@@ -513,3 +513,23 @@ def test_rows_left_out_of_the_wide_table_still_count_in_its_windows(spark):
     rows = spark.createDataFrame([(1, m, float(m), m % 2) for m in range(1, 7)], "id int, month int, x double, odd int")
     out = features.wide_features(rows, "id", "month", ["id", "month", "odd"], [], [Rolling("n_sum", "x")], keep="_plain.odd = 0")
     assert sorted((r.month, r.n_sum_3m, r.n_sum_6m) for r in out.collect()) == [(2, 3.0, 3.0), (4, 9.0, 10.0), (6, 15.0, 21.0)]
+
+
+def test_large_sides_are_not_broadcast_by_their_estimate(spark):
+    """What looks small by its files is joined by a shuffle."""
+    from memberlytics.plans import bindings as b
+    from memberlytics.session import broadcast_if_small
+
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    rows_ = spark.createDataFrame([(1, 1.0), (2, 1.0), (3, None)], "id int, x double")
+    cells = spark.createDataFrame([(1.0, 2, 0.5), (None, 1, 0.0)], "x double, _n long, _pr0 double")
+    out = ranking.attach(rows_, cells, cells, ["x"], ["id"], ["_pr0"], {"total": 3, "most": 0})
+    assert rows(out, "id") == [(1, 1.0, 0.5), (2, 1.0, 0.5), (3, None, 0.0)]
+    assert "BroadcastHashJoin" not in plan(out)
+    panel = spark.createDataFrame([(10, None, d(2000, 1), 1.0, 2.0, "I"), (11, 10, d(2000, 1), 3.0, 4.0, "C")],
+                                  "member_id long, sponsor_id long, month date, pv double, bv double, member_type string")
+    grouped = b.with_group(panel)
+    assert sorted((r.member_id, r.group_pv, r.front_customers) for r in grouped.collect()) == [(10, 4.0, 1), (11, 3.0, 0)]
+    assert "BroadcastHashJoin" not in plan(grouped)
+    few, many = broadcast_if_small(cells, "few"), broadcast_if_small(cells, "many", max_rows=1)
+    assert "BroadcastHashJoin" in plan(rows_.join(few, "x")) and "BroadcastHashJoin" not in plan(rows_.join(many, "x"))
