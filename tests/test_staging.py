@@ -76,3 +76,13 @@ def test_training_queries_share_one_table(spark):
             spark._jvm.org.apache.hadoop.fs.Path(path), True
         )
         assert fq.early_rows(spark, SF, 2).count() == again.sparkSession.read.parquet(run.shared[SF, "star2"][2]).count() > 0
+
+
+def test_only_the_slices_asked_for_are_written(spark, monkeypatch):
+    written = {}
+    monkeypatch.setattr(fq, "stage", lambda df, name: written.setdefault(name, stage(df, name)))
+    with staging_run(spark):
+        out = fq.tenure_slices(spark, SF, (2,), keep=fq.SELLING)
+        found = out.select("n_tenure", "i_status", "i_member_type").collect()
+        assert found and {tuple(r) for r in found} == {(2, "ACTIVE", "I")}
+        assert written["slices"].count() == len(found)
