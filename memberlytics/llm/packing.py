@@ -3,7 +3,7 @@
 A document is cut into whole windows of the longest tier; what remains is routed to the shortest tier that holds it.
 In every tier a remainder takes a window and its gap is filled from the stream of the shortest tier's documents, so
 that windows are full; a document of that stream is cut where a gap ends.  What is left is run together in the longest
-windows, and only the last one of a shard has padding.  Shards have a bounded number of documents and are independent.
+windows, and only the last one of a shard has padding.  Shards have a bounded number of documents of one task and are independent.
 Full windows are dealt to step groups of equal token counts.
 """
 
@@ -14,18 +14,18 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from memberlytics.llm.registry import query, table
-from memberlytics.session import staging_path
 
 TIERS = (512, 1024, 2048, 4096)
 STEP_TOKENS = 16 * TIERS[-1]
-SHARD = 8192
+SHARD, SHARD_BYTES = 8192, 16_000_000  # documents of a shard, and bytes of their ids, before it is closed
+SHARD_BITS = 14
 END_ID = 2
 KNOWN, KNOWN_PIECES = 1_000_000, 500_000  # words, and pre-tokens, whose ids a worker keeps
 # Characters for which lower-casing is the same everywhere and composition changes nothing.
@@ -149,34 +149,16 @@ class _Encoder:
         return any(s in low for s in self.special)
 
 
-def _encode_batches(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _ENCODERS:
-            _ENCODERS[path] = _Encoder(path)
-        encoder = _ENCODERS[path]
-        width = np.dtype(encoder.dtype).itemsize
-        for b in batches:
-            texts = b.column("text").cast(pa.binary())
-            step = max(1, int(len(b) * BATCH_BYTES / max(1, b.nbytes)))
-            for k in range(0, len(b), step):
-                ids = encoder.encode(texts[k : k + step].to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id")[k : k + step], pa.array([len(x) // width for x in ids], pa.int64()),
-                     pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())],
-                    ["doc_id", "n", "width", "ids"],
-                )
-
-    return run
-
-
-def tokenize(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """(row, doc_id, n, width, ids), staged: a number for each row, its token count and its ids as bytes."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    t = d.mapInArrow(_encode_batches(tokenizer), "doc_id long, n long, width int, ids binary")
-    t = t.select(F.monotonically_increasing_id().alias("row"), "*")
-    path = staging_path(docs.sparkSession, "tokens")
-    t.write.option("compression", "zstd").parquet(path)  # the row numbers are fixed from here on
-    return docs.sparkSession.read.schema(t.schema).parquet(path)
+def _id_batches(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes], int]]:
+    """doc_id, ids as bytes and bytes per id, for batches of bounded size."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = _Encoder(path)
+    encoder = _ENCODERS[path]
+    for b in batches:
+        texts = b.column("text").cast(pa.binary())
+        step = max(1, int(len(b) * BATCH_BYTES / max(1, b.nbytes)))
+        for k in range(0, len(b), step):
+            yield b.column("doc_id")[k : k + step], encoder.encode(texts[k : k + step].to_pylist()), np.dtype(encoder.dtype).itemsize
 
 
 def _meet(stream: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -235,58 +217,64 @@ def plan_shard(n: np.ndarray, tiers: tuple[int, ...] = TIERS) -> dict[str, np.nd
             "window": windows[sequence], "step": step[sequence]}
 
 
-PIECE = "start long, length long, sequence_id long, offset long, window long, step long"
+def _pieces(doc_id: pa.Array, ids: list[bytes], width: int, shard: int) -> Iterator[pa.RecordBatch]:
+    """The pieces of a shard's documents, in the order of the documents: end to end they are the documents' ids."""
+    n = np.array([len(x) // width for x in ids], np.int64)
+    p = plan_shard(n)
+    order = np.lexsort((p["start"], p["doc"]))
+    p = {name: column[order] for name, column in p.items()}
+    base = shard << 32
+    codes = pa.py_buffer(np.frombuffer(b"".join(ids), f"<u{width}").astype("<u4"))
+    ends = pa.py_buffer(np.concatenate([[0], np.cumsum(p["length"] * 4)]).astype(np.int64))
+    cut = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(order), [None, ends, codes])
+    longs = [p["start"], p["length"], n[p["doc"]], base + p["sequence"], p["offset"], p["window"], base + p["step"]]
+    columns = [doc_id.take(pa.array(p["doc"])), *map(pa.array, longs)]
+    columns.insert(3, cut)
+    made = pa.RecordBatch.from_arrays(columns, NAMES)
+    step = max(1, int(len(made) * BATCH_BYTES / max(1, made.nbytes)))
+    for k in range(0, len(made), step):
+        part = made.slice(k, step)
+        yield part.set_column(3, "ids", part.column("ids").cast(pa.binary()))
+
 
+NAMES = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "window", "step"]
 
-def plan(counts: DataFrame, shard: int = SHARD) -> DataFrame:
-    """(row, n) -> pieces (row, start, length, sequence_id, offset, window, step); numbers are unique across shards."""
-    shards = max(1, -(-counts.count() // shard))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row")
-        p = plan_shard(pdf["n"].to_numpy(np.int64))
-        base = int(pdf["shard"].iloc[0]) << 32
-        return pd.DataFrame({
-            "row": pdf["row"].to_numpy()[p["doc"]], "start": p["start"], "length": p["length"], "sequence_id": base + p["sequence"],
-            "offset": p["offset"], "window": p["window"], "step": base + p["step"],
-        })
+def _pack_batches(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        docs, ids, size, made = [], [], 0, 0
+        for doc_id, found, width in _id_batches(path, batches):
+            docs.append(doc_id)
+            ids += found
+            size += sum(map(len, found))
+            if len(ids) >= SHARD or size >= SHARD_BYTES:
+                yield from _pieces(pa.concat_arrays(docs), ids, width, _shard(task, made))
+                docs, ids, size, made = [], [], 0, made + 1
+        if ids:
+            yield from _pieces(pa.concat_arrays(docs), ids, width, _shard(task, made))
 
-    dealt = counts.select("row", "n", F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard"))
-    return dealt.groupBy("shard").applyInPandas(run, f"row long, {PIECE}")
+    return run
 
 
-def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "window", "step"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 5]
-    for b in batches:
-        out: list[list] = [[] for _ in names]
-        size = 0
-        for doc_id, n, width, ids, pieces in zip(*(b.column(c).to_pylist() for c in ("doc_id", "n", "width", "ids", "pieces"))):
-            codes = np.frombuffer(ids, f"<u{width}").astype("<u4")
-            for p in pieces:
-                a, m = p["start"], p["length"]
-                row = (doc_id, a, m, codes[a : a + m].tobytes(), n, p["sequence_id"], p["offset"], p["window"], p["step"])
-                for column, value in zip(out, row):
-                    column.append(value)
-                size += m
-            if size > 2_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
-                out, size = [[] for _ in names], 0
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
+def _shard(task: int, k: int) -> int:
+    """A number of 31 bits for the k-th shard of a task."""
+    if task >> 31 - SHARD_BITS or k >> SHARD_BITS:
+        raise ValueError("too many shards to number")
+    return task << SHARD_BITS | k
 
 
 def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Pieces of all rows of ``docs`` with their ids (unsigned little-endian 32-bit) and their place in a sequence.
 
-    A null text is empty: its only token is the end id.  A repeated row is packed as often as it occurs, and a row without
-    doc_id like any other.  Sequences hold ``window`` tokens (a power of two) but for the last of each shard.
+    Encoding, planning and cutting take place in the task that reads the documents: nothing is shuffled.  A null text is empty:
+    its only token is the end id.  A repeated row is packed as often as it occurs, and a row without doc_id like any other.
+    Sequences hold ``window`` tokens (a power of two) but for the last of each shard.  Sequences are numbered by task: write the
+    result once if it is read several times.
     """
-    tokens = tokenize(docs, tokenizer)
-    pieces = plan(tokens.select("row", "n"))
-    per = pieces.groupBy("row").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset", "window", "step")).alias("pieces"))
-    joined = tokens.join(per, "row").select("doc_id", "n", "width", "ids", "pieces")
-    schema = f"doc_id long, start long, length long, ids binary, doc_tokens long, {PIECE.partition('length long, ')[2]}"
-    return joined.mapInArrow(_cut_batches, schema)
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    schema = ", ".join(f"{c} {'binary' if c == 'ids' else 'long'}" for c in NAMES)
+    return d.mapInArrow(_pack_batches(tokenizer), schema)
 
 
 def default_tokenizer() -> str:

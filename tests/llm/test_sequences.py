@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -80,6 +81,38 @@ def test_pack_round_trip(spark):
     assert packing.pack(documents(spark, []), packing.default_tokenizer()).count() == 0
 
 
+def test_pack_moves_no_rows(spark):
+    """Documents are encoded, planned and cut by the task that reads them, and tasks share no sequence number."""
+    rows = [(i, "word " * (i % 9 * 300), "en") for i in range(60)]
+    packed = packing.pack(documents(spark, rows), packing.default_tokenizer())
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    places = packed.select("sequence_id", "offset", "length", F.spark_partition_id().alias("task")).collect()
+    check_places([(r["sequence_id"], r["offset"], r["length"]) for r in places])
+    tasks = defaultdict(set)
+    for r in places:
+        tasks[r["sequence_id"]].add(r["task"])
+    assert all(len(t) == 1 for t in tasks.values()) and len(set.union(*tasks.values())) > 1
+
+
+@pytest.mark.parametrize("limit", [("SHARD", 7), ("SHARD_BYTES", 3000)])
+def test_shards_of_a_task(monkeypatch, limit):
+    monkeypatch.setattr(packing, *limit)
+    monkeypatch.setattr(packing.TaskContext, "get", staticmethod(lambda: type("task", (), {"partitionId": lambda self: 5})()))
+    texts = [None, "", *[" ".join(f"w{j}" for j in range(i * 37 % 700)) for i in range(50)], "long " * 9000]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [None if i == 3 else i for i in range(k, k + 9)], "text": texts[k : k + 9]},
+                                          pa.schema([("doc_id", pa.int64()), ("text", pa.string())])) for k in range(0, 45, 9)]
+    batches.append(pa.RecordBatch.from_pydict({"doc_id": list(range(45, len(texts))), "text": texts[45:]}))
+    got = [r for b in packing._pack_batches(packing.default_tokenizer())(iter(batches)) for r in b.to_pylist()]
+    check_places([(r["sequence_id"], r["offset"], r["length"]) for r in got])
+    assert len({r["sequence_id"] >> 32 for r in got}) > 3
+    plain = Tokenizer.from_file(packing.default_tokenizer())
+    for i, text in enumerate(texts):
+        mine = sorted((r for r in got if r["doc_id"] == (None if i == 3 else i)), key=lambda r: r["start"])
+        ids = [x for r in mine for x in np.frombuffer(r["ids"], "<u4").tolist()]
+        assert ids == plain.encode(text or "", add_special_tokens=False).ids + [2] and {r["doc_tokens"] for r in mine} == {len(ids)}
+
+
 def test_pack_query(spark):
     from memberlytics.llm.queries import QUERIES
 
