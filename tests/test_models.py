@@ -141,6 +141,21 @@ def test_grid_search_by_rounds_and_in_full(spark, data):
     assert max(r["auc"] for r in full) > 0.8
 
 
+def test_points_that_differ_in_iterations_share_a_fit(spark, data, monkeypatch):
+    """The first trees of the longer model are the shorter model, and the grid fits only the longer one."""
+    from pyspark.ml.functions import vector_to_array
+
+    folded = ml.member_folds(ml.fit_encoder(data, "y", KEYS).transform(data), "id", 3)
+    fit = lambda k: ml.classifier("y", "gbt", {"maxBins": 8, "maxDepth": 2, "maxIter": k}).fit(folded)
+    short = fit(2).transform(ml.margins(fit(4), folded, [2, 4]))
+    apart = F.abs(F.get(vector_to_array("rawPrediction"), F.lit(1)) - F.col("margin_2"))
+    assert short.agg(F.max(apart)).first()[0] < 1e-9 and short.filter("margin_2 <> margin_4").count()
+    made, classifier = [], ml.classifier
+    monkeypatch.setattr(ml, "classifier", lambda target, algo, params: made.append(params) or classifier(target, algo, params))
+    found = ml.grid_search(folded, "y", "fold", {"maxDepth": [1, 2], "maxIter": [1, 3]}, 3, {"maxBins": 8}, halving=False)
+    assert found.count() == 4 and sorted((m["maxDepth"], m["maxIter"]) for m in made) == [(1, 3)] * 3 + [(2, 3)] * 3
+
+
 def test_thousands_of_categories(spark):
     """Trees take 48 bins; the rarer of 5,000 categories share one, and unseen ones go with them."""
     rows = [(i, f"c{i % 5000:04d}", 0) for i in range(6000)] + [(10_000 + i, f"it's {i % 40}", 1) for i in range(4000)]
