@@ -533,3 +533,22 @@ def test_large_sides_are_not_broadcast_by_their_estimate(spark):
     assert "BroadcastHashJoin" not in plan(grouped)
     few, many = broadcast_if_small(cells, "few"), broadcast_if_small(cells, "many", max_rows=1)
     assert "BroadcastHashJoin" in plan(rows_.join(few, "x")) and "BroadcastHashJoin" not in plan(rows_.join(many, "x"))
+
+
+def test_rows_dealt_by_one_key_stay_for_lookups_by_two(spark):
+    """Null keys find nothing, rows that repeat stay as many, and neither the join nor a window after it moves the rows again."""
+    from pyspark.sql import Window
+
+    from memberlytics import session
+
+    rows_ = spark.createDataFrame(
+        [(1, d(2000, 1), 1), (1, d(2000, 2), 2), (1, d(2000, 2), 2), (2, None, 3), (None, d(2000, 1), 4), (3, d(2000, 1), 5)], "e int, p date, x int"
+    )
+    side = spark.createDataFrame([(1, d(2000, 1), "a"), (1, d(2000, 2), "b"), (2, None, "c"), (None, d(2000, 1), "d")], "e int, p date, v string")
+    lookup = ("a", session.unmeasured(side), ["e", "p"])
+    out = features.star_join(features.packed(rows_.repartition("e"), ["e", "p"], "base"), [lookup], "e")
+    out = features.unpack(out, ["base", "a"])
+    assert sorted((r.x, r.v) for r in out.collect()) == [(1, "a"), (2, "b"), (2, "b"), (3, None), (4, None), (5, None)]
+    plan = out.withColumn("n", F.sum("x").over(Window.partitionBy("e").orderBy("p")))._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert len(moved) == 2 and not any("p#" in line.partition("hashpartitioning")[2] for line in moved)  # the rows once, the side once

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from memberlytics.plans import QUERIES, feature_queries as fq
-from memberlytics.session import current_staging, stage, stage_all, staging_root, staging_run
+from memberlytics.session import current_staging, stage, stage_all, stage_by, staging_root, staging_run
 from memberlytics.sources.readers import files_print
 
 SF = "/root/testdata/sf0.001"
@@ -86,3 +86,18 @@ def test_only_the_slices_asked_for_are_written(spark, monkeypatch):
         found = out.select("n_tenure", "i_status", "i_member_type").collect()
         assert found and {tuple(r) for r in found} == {(2, "ACTIVE", "I")}
         assert written["slices"].count() == len(found)
+
+
+def test_bucketed_tables_are_not_shuffled_by_their_key(spark):
+    from pyspark.sql import Window
+
+    before = {t.name for t in spark.catalog.listTables()}
+    with staging_run(spark) as run:
+        rows = spark.range(50).select((F.col("id") % 7).alias("k"), F.when(F.col("id") % 5 > 0, F.col("id")).alias("v"))
+        t = stage_by(rows, "dealt", "k")
+        assert t.schema == rows.schema or t.columns == rows.columns
+        assert sorted(t.collect(), key=str) == sorted(rows.collect(), key=str) and os.listdir(run.folder)
+        w = t.withColumn("n", F.count("v").over(Window.partitionBy("k").orderBy("v")))
+        plan = w._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and w.agg(F.max("n")).first()[0] == 6
+        assert {x.name for x in spark.catalog.listTables()} == before
