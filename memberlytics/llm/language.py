@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 
 from memberlytics.llm import crf
 from memberlytics.llm.registry import query, table
+from memberlytics.llm.worker import kept
 
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 #: The fit reads about so many labelled documents of each language, of at most so many characters.
 SAMPLE, SAMPLE_CHARS = 200, 8000
 BATCH_WORDS = 200_000
-_MODELS: dict[int, crf.Model] = {}
 
 
 def held_out(doc_id) -> F.Column:
@@ -116,7 +116,7 @@ def predict(
     key = hash((model.weights.tobytes(), model.move.tobytes(), *model.labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _MODELS.setdefault(key, model)  # a worker keeps the scores of the words that it has seen
+        own = kept(("language", key), lambda: model)  # a worker keeps the scores of the words that it has seen
         for b in batches:
             lang, score = _predict(own, b.column("__text").to_pylist())
             columns = [b.column(c) for c in keep] + [pa.array(lang, pa.string()), pa.array(score, pa.float64())]

@@ -21,18 +21,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from memberlytics.llm.registry import query, table
+from memberlytics.llm.worker import Known, kept
 
 TIERS = (512, 1024, 2048, 4096)
 STEP_TOKENS = 16 * TIERS[-1]
 SHARD, SHARD_BYTES = 8192, 16_000_000  # documents of a shard, and bytes of their ids, before it is closed
 SHARD_BITS = 14
 END_ID = 2
-KNOWN, KNOWN_PIECES = 1_000_000, 500_000  # words, and pre-tokens, whose ids a worker keeps
+KNOWN, KNOWN_PIECES = 500_000, 250_000  # words, and pre-tokens, of a generation whose ids a worker keeps; it keeps two
 # Characters for which lower-casing is the same everywhere and composition changes nothing.
 LATIN = regex.compile(r"[\x20-\x7E\u00A1-\u012F\u0131-\u0148\u014A-\u017E]*")
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 2_000_000
 SEPARATOR = "\x01"
-_ENCODERS: dict[str, _Encoder] = {}
 
 
 class _Encoder:
@@ -46,15 +46,13 @@ class _Encoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        self.loaded = Tokenizer.from_file(path)
-        # Strings of special tokens cross words: a text that holds one, in any case of its letters, is encoded whole.
-        self.special = [t.content.encode().lower() for t in self.loaded.get_added_tokens_decoder().values()]
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # for words of other texts
+        # Strings of special tokens cross words: a text that holds one, in any case of its letters, is encoded whole.
+        self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.mark = self._ids(SEPARATOR)
-        self.known: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known: Known[bytes, bytes] = Known(KNOWN)
+        self.pieces: Known[str, bytes] = Known(KNOWN_PIECES)
         self.split, self.final = self._rules()
 
     def _rules(self):
@@ -78,10 +76,7 @@ class _Encoder:
             [w] if w.isalpha() else [w[:-1], w[-1]] if w[:-1].isalpha() and w[-1] in ".,;:!?" else find(w)
             for w in line.lower().split(" ")
         ]
-        new = list(set(chain.from_iterable(split)).difference(self.pieces))
-        if len(self.pieces) + len(new) > KNOWN_PIECES:
-            self.pieces = {}
-            new = list(set(chain.from_iterable(split)))
+        new = self.pieces.missing(set(chain.from_iterable(split)))
         for k in range(0, len(new), 2000):
             part = new[k : k + 2000]
             ids = np.array(self._ids(" ".join(part)), self.dtype)
@@ -90,11 +85,11 @@ class _Encoder:
                 raise ValueError("a pre-token has not one end")
             data, start = ids.tobytes(), 0
             for w, end in zip(part, ends):
-                self.pieces[w] = data[start:end]
+                self.pieces.now[w] = data[start:end]
                 start = end
-        get = self.pieces.__getitem__
+        get, known = self.pieces.now.__getitem__, self.known.now
         for w, p in zip(words, split):
-            self.known[w] = get(p[0]) if len(p) == 1 else b"".join(map(get, p))
+            known[w] = get(p[0]) if len(p) == 1 else b"".join(map(get, p))
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -109,7 +104,7 @@ class _Encoder:
                 latin = words
             if latin:
                 self._learn_latin(latin, line)
-            words = [w for w in words if w not in self.known]
+            words = [w for w in words if w not in self.known.now]
         plain = [w for w in words if SEPARATOR.encode() not in w] if len(self.mark) == 1 else []
         width = np.dtype(self.dtype).itemsize
         for k in range(0, len(plain), 512):
@@ -119,27 +114,26 @@ class _Encoder:
             if len(ends) == len(part):
                 data, start = ids.tobytes(), 0
                 for w, end in zip(part, ends):
-                    self.known[w] = data[start:end]
+                    self.known.now[w] = data[start:end]
                     start = end + width
         for w in words:
-            if w not in self.known:
-                self.known[w] = np.array(self._ids(w.decode()), self.dtype).tobytes()
+            if w not in self.known.now:
+                self.known.now[w] = np.array(self._ids(w.decode()), self.dtype).tobytes()
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text and the end id, as little-endian bytes."""
         whole = {i for i, t in enumerate(texts) if t and self._has_special(t)}
         words = [[] if i in whole else (t or b"").split() for i, t in enumerate(texts)]
-        new = set(chain.from_iterable(words)).difference(self.known)
-        if len(self.known) + len(new) > KNOWN:
-            self.known = {}
-            new = set(chain.from_iterable(words))
-        self._learn(list(new))
+        self._learn(self.known.missing(set(chain.from_iterable(words))))
         end = np.array([END_ID], self.dtype).tobytes()
-        get = self.known.__getitem__
+        get = self.known.now.__getitem__
         ids = [b"".join(map(get, w)) + end for w in words]
-        for i in whole:
-            found = self.loaded.encode(texts[i].decode(), add_special_tokens=False).ids
-            ids[i] = np.array(found, self.dtype).tobytes() + end
+        if whole:
+            self.tokenizer.encode_special_tokens = False
+            for i in whole:
+                found = self.tokenizer.encode(texts[i].decode(), add_special_tokens=False).ids
+                ids[i] = np.array(found, self.dtype).tobytes() + end
+            self.tokenizer.encode_special_tokens = True
         return ids
 
     def _has_special(self, text: bytes) -> bool:
@@ -151,9 +145,7 @@ class _Encoder:
 
 def _id_batches(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes], int]]:
     """doc_id, ids as bytes and bytes per id, for batches of bounded size."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = _Encoder(path)
-    encoder = _ENCODERS[path]
+    encoder = kept(("packing", path), lambda: _Encoder(path))
     for b in batches:
         texts = b.column("text").cast(pa.binary())
         step = max(1, int(len(b) * BATCH_BYTES / max(1, b.nbytes)))
@@ -224,17 +216,17 @@ def _pieces(doc_id: pa.Array, ids: list[bytes], width: int, shard: int) -> Itera
     order = np.lexsort((p["start"], p["doc"]))
     p = {name: column[order] for name, column in p.items()}
     base = shard << 32
-    codes = pa.py_buffer(np.frombuffer(b"".join(ids), f"<u{width}").astype("<u4"))
-    ends = pa.py_buffer(np.concatenate([[0], np.cumsum(p["length"] * 4)]).astype(np.int64))
-    cut = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(order), [None, ends, codes])
-    longs = [p["start"], p["length"], n[p["doc"]], base + p["sequence"], p["offset"], p["window"], base + p["step"]]
-    columns = [doc_id.take(pa.array(p["doc"])), *map(pa.array, longs)]
-    columns.insert(3, cut)
-    made = pa.RecordBatch.from_arrays(columns, NAMES)
-    step = max(1, int(len(made) * BATCH_BYTES / max(1, made.nbytes)))
-    for k in range(0, len(made), step):
-        part = made.slice(k, step)
-        yield part.set_column(3, "ids", part.column("ids").cast(pa.binary()))
+    codes, ends = np.frombuffer(b"".join(ids), f"<u{width}"), np.concatenate([[0], np.cumsum(p["length"])])
+    step = max(1, int(len(order) * BATCH_BYTES / max(1, 4 * len(codes) + 72 * len(order))))
+    for k in range(0, len(order), step):
+        q = {name: column[k : k + step] for name, column in p.items()}
+        at = ends[k : k + step + 1]
+        wide = pa.py_buffer(codes[at[0] : at[-1]].astype("<u4"))  # four bytes an id, for these pieces only
+        cut = pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(((at - at[0]) * 4).astype(np.int32)), wide])
+        longs = [q["start"], q["length"], n[q["doc"]], base + q["sequence"], q["offset"], q["window"], base + q["step"]]
+        columns = [doc_id.take(pa.array(q["doc"])), *map(pa.array, longs)]
+        columns.insert(3, cut)
+        yield pa.RecordBatch.from_arrays(columns, NAMES)
 
 
 NAMES = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "window", "step"]

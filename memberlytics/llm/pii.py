@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from memberlytics.llm import crf
 from memberlytics.llm.registry import query, table
+from memberlytics.llm.worker import kept
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ["none", *KINDS]
@@ -31,7 +32,6 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 PIECE = re.compile(r"[^\x20\x09-\x0D,;|]+")  # values of a list or a table row never share one
-_MODELS: dict[int, crf.Model] = {}
 
 Span = tuple[int, int]
 
@@ -273,10 +273,9 @@ def find_personal_data(docs: DataFrame, model: crf.Model | None) -> DataFrame:
     key = 0 if model is None else hash((model.weights.tobytes(), model.move.tobytes()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if model is not None and key not in _MODELS:
-            _MODELS[key] = _ShapeModel(model)
+        own = None if model is None else kept(("pii", key), lambda: _ShapeModel(model))
         for b in batches:
-            found = _find(_MODELS.get(key), [t or "" for t in b.column("text").to_pylist()])
+            found = _find(own, [t or "" for t in b.column("text").to_pylist()])
             columns = [b.column("doc_id")]
             for k in range(2 * len(KINDS)):
                 spans = [f[k // len(KINDS)][k % len(KINDS)] for f in found]

@@ -1,6 +1,7 @@
 """Packing, token counts, preference pairs and the pipeline."""
 
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from helpers import ODD, contaminated, documents, secret_spans, simhash
-from memberlytics.llm import packing, preferences, token_counts
+from memberlytics.llm import packing, preferences, token_counts, worker
 
 
 def check_places(pieces):
@@ -113,6 +114,44 @@ def test_shards_of_a_task(monkeypatch, limit):
         assert ids == plain.encode(text or "", add_special_tokens=False).ids + [2] and {r["doc_tokens"] for r in mine} == {len(ids)}
 
 
+def test_a_shard_is_cut_part_by_part():
+    """The ids of a shard are joined once; only the pieces of a part are widened to four bytes an id."""
+    one = np.arange(40_000, dtype="<u2").tobytes()
+    ids, docs = [one] * 200, pa.array(range(200), pa.int64())
+    tracemalloc.start()
+    parts = rows = 0
+    for b in packing._pieces(docs, ids, 2, 1):
+        parts, rows = parts + 1, rows + sum(b.column("length").to_pylist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 200 * 40_000 and parts > 5 and peak < 2 * 200 * len(one)
+
+
+def test_a_worker_keeps_the_tables_of_one_operator(monkeypatch):
+    monkeypatch.setattr(worker, "_kept", {})
+    first = worker.kept("language", list)
+    assert worker.kept("language", list) is first
+    path = packing.default_tokenizer()
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["some words"]})
+    assert [x for _, x, _ in packing._id_batches(path, iter([batch]))] and list(worker._kept) == [("packing", path)]
+    assert worker.kept("language", list) is not first and list(worker._kept) == ["language"]
+
+
+def test_known_words_are_bounded_and_frequent_ones_stay(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN", 40)
+    monkeypatch.setattr(packing, "KNOWN_PIECES", 30)
+    encoder, plain = packing._Encoder(packing.default_tokenizer()), Tokenizer.from_file(packing.default_tokenizer())
+    learned = []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: (learned.extend(words), learn(words)))
+    for k in range(60):
+        text = "often " + " ".join(f"w{k}x{j}," for j in range(15)) + " élan Ж"
+        want = plain.encode(text, add_special_tokens=False).ids + [packing.END_ID]
+        assert np.frombuffer(encoder.encode([text.encode()])[0], encoder.dtype).tolist() == want
+        assert len(encoder.known.now) + len(encoder.known.old) <= 2 * 40
+    assert learned.count(b"often") == 1 and learned.count(b"w3x3,") == 1
+
+
 def test_pack_query(spark):
     from memberlytics.llm.queries import QUERIES
 
