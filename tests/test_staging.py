@@ -88,6 +88,27 @@ def test_only_the_slices_asked_for_are_written(spark, monkeypatch):
         assert written["slices"].count() == len(found)
 
 
+def test_slices_join_only_the_rows_they_look_back_on(spark):
+    """The slice of tenure 2 needs the rows up to there, unless the run has the longer table already; both give the same rows."""
+    with staging_run(spark) as run:
+        short = fq.tenure_slices(spark, SF, (2,)).select("member_id", "month", "n_pv_sum_month_agg", "n_pv_previous").collect()
+        assert set(run.shared) == {(SF, "star2")}
+    with staging_run(spark) as run:
+        fq.early_rows(spark, SF, max(fq.TENURES))
+        long = fq.tenure_slices(spark, SF, (2,)).select("member_id", "month", "n_pv_sum_month_agg", "n_pv_previous").collect()
+        assert set(run.shared) == {(SF, "star15")}
+    assert sorted(short) == sorted(long) and short
+
+
+def test_model_rows_are_written_once(spark):
+    from memberlytics.plans import model_queries as mq
+
+    with staging_run(spark) as run:
+        assert mq.renewal_data(spark, SF).count() > 0
+        names = [n.rpartition("-")[0] for n in os.listdir(run.folder)]
+        assert names.count("renewal") == 1 and "slices" not in names
+
+
 def test_bucketed_tables_are_not_shuffled_by_their_key(spark):
     from pyspark.sql import Window
 
