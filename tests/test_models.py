@@ -1,5 +1,6 @@
 """Training, scoring and explanations on a small table."""
 
+import datetime
 import itertools
 import math
 import random
@@ -9,6 +10,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from memberlytics.functions import portable_bucket
 from memberlytics.models import explain, training as ml
 from memberlytics.sources import readers as rd, writers as wr
 from memberlytics.session import stage_seen, staging_path, staging_root
@@ -261,3 +263,40 @@ def test_staging_needs_a_shared_folder_on_a_cluster():
     assert staging_root(Fake("hdfs:///shared/")) == "hdfs:///shared"
     with pytest.raises(ValueError):
         staging_root(Fake(None))
+
+
+@pytest.fixture
+def small_queries(spark, monkeypatch):
+    """The model queries on a small table, with small models; gives the module and the rows of every fit."""
+    from memberlytics.plans import model_queries as mq
+
+    rnd, rows = random.Random(6), []
+    for i in range(300):
+        a = rnd.random()
+        month = datetime.date(2000, 1 + i % 12, 1)
+        rows.append((i // 2, month, month, a, rnd.choice("uvw"), int(a > 0.5), rnd.choice(["UP", "SAME", "DOWN"])))
+    table = spark.createDataFrame(rows, "member_id long, month date, signup_month date, n_a double, i_c string, renewal_flag int, outcome string")
+    fitted, fit = [], ml.fit_model
+
+    def small_fit(df, target, keys, algo="gbt", params=None, one_hot=False):
+        fitted.append(df.count())
+        return fit(df, target, keys, algo, {"maxDepth": 2, "maxIter" if algo == "gbt" else "numTrees": 2}, one_hot)
+
+    monkeypatch.setattr(mq, "renewal_data", lambda spark, sf: table.drop("outcome").localCheckpoint())
+    monkeypatch.setattr(mq, "migration_data", lambda spark, sf, k=3: table.drop("signup_month", "renewal_flag"))
+    monkeypatch.setattr(mq, "FIT_ROWS", 50, raising=False)  # a bound that there was
+    monkeypatch.setattr(ml, "fit_model", small_fit)
+    return mq, table, fitted
+
+
+def test_models_are_fitted_on_all_training_rows(spark, small_queries):
+    mq, table, fitted = small_queries
+    part = portable_bucket(["member_id"], 10_000, 1000) < 8000
+    train, early = table.filter(part).count(), table.filter(f"month < '{mq.CUTOFF}'").count()
+    assert 50 < train < 300 and 50 < early < 300
+    for name in ("ml_gbt_scores", "ml_importances", "ml_metrics", "ml_score", "ml_score_input", "ml_contributions"):
+        fitted.clear()
+        assert getattr(mq, name)(spark, "").count() and fitted == [train], name
+    for name, rows in (("ml_rf_scores", train), ("auc_migration_6m", train), ("ml_score_cutoff", early)):
+        fitted.clear()
+        assert getattr(mq, name)(spark, "").count() and fitted == [rows], name
