@@ -300,3 +300,26 @@ def test_models_are_fitted_on_all_training_rows(spark, small_queries):
     for name, rows in (("ml_rf_scores", train), ("auc_migration_6m", train), ("ml_score_cutoff", early)):
         fitted.clear()
         assert getattr(mq, name)(spark, "").count() and fitted == [rows], name
+
+
+def test_cross_validation_tries_every_point_on_every_fold(spark, small_queries, monkeypatch):
+    mq, _, _ = small_queries
+    fitted, found, search, best = [], [], ml.grid_search, ml.fit_best
+    grid, fixed = {"maxDepth": [1, 2], "maxIter": [1, 2]}, {"maxBins": 8}
+
+    def small_search(encoded, target, fold, **kw):
+        found.append(search(encoded, target, fold, grid, params=fixed, **kw))
+        return found[-1]
+
+    monkeypatch.setattr(ml, "grid_search", small_search)
+    monkeypatch.setattr(ml, "fit_best", lambda df, encoded, target: fitted.append(encoded.count()) or best(df, encoded, target, grid, fixed))
+    got = mq.ml_cv(spark, "").collect()
+    assert {r["point"]: r["folds"] for r in found[0].collect()} == dict.fromkeys(range(4), 5)
+    assert len(got) == 4 and all(r["in_range"] for r in got) and fitted == [244]
+
+
+def test_the_best_point_is_fitted_again(spark, data):
+    encoded = ml.fit_encoder(data, "y", KEYS).transform(data)
+    found = spark.createDataFrame([(0, "", 5, 0.6), (1, "", 5, 0.8), (2, "", 5, 0.8)], "point int, params string, folds int, auc double")
+    model = ml.fit_best(found, encoded, "y", {"maxDepth": [1, 2, 3]}, {"maxIter": 2, "maxBins": 8})
+    assert model.getMaxDepth() == 2 and model.getNumTrees == 2 and ml.area(model.transform(encoded), "y") > 0.8
